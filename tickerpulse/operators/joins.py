@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Limits for the broadcast side, checked before it is used.
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Heavy keys to broadcast when the whole table is too large for it.
+HOT_ROWS = 100_000
 # A key longer than this never goes into a broadcast, which bounds the bytes of one.
 HOT_KEY_CHARS = 256
 
@@ -21,27 +23,26 @@ def fits_broadcast(
     return n <= rows and (total or 0) <= size
 
 
-def checked_join(
-    big: DataFrame, small: DataFrame, on: str, how: str = "inner", rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Broadcast ``small`` if its measured size allows, else leave the choice to the optimizer."""
-    return big.join(F.broadcast(small) if fits_broadcast(small, rows) else small, on, how)
-
-
 def join_by_weight(
-    facts: DataFrame, dim: DataFrame, key: str, weight: str, hot_rows: int = BROADCAST_ROWS
+    facts: DataFrame,
+    dim: DataFrame,
+    key: str,
+    weight: str,
+    rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Inner join of ``facts`` with ``dim``, which has one row per key and in ``weight`` the
     number of fact rows with that key.
 
-    The weights sum to the number of fact rows, so fewer than ``hot_rows`` keys can hold more
-    than a ``1/hot_rows`` share each.  Those are broadcast, so their rows stay where they are;
-    only rows of rarer keys are shuffled, and none of these keys is heavy.
+    A small ``dim`` (measured) is broadcast.  Otherwise: the weights sum to the number of fact
+    rows, so fewer than ``hot_rows`` keys can hold more than a ``1/hot_rows`` share each.  Those
+    are broadcast and their rows stay where they are; only rows of rarer keys are shuffled, and
+    none of these keys is heavy.
     """
-    n, total = dim.agg(F.count("*"), F.sum(weight)).first()
-    if n <= hot_rows and fits_broadcast(dim, hot_rows):
+    if fits_broadcast(dim, rows):
         return facts.join(F.broadcast(dim), key)
-    is_hot = (F.col(weight) > (total or 0) / hot_rows) & (
+    total = dim.agg(F.sum(weight)).first()[0]
+    is_hot = (F.col(weight) > total / hot_rows) & (
         F.octet_length(F.col(key).cast("string")) <= HOT_KEY_CHARS
     )
     hot, cold = dim.filter(is_hot), dim.filter(~is_hot)

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stopwords
 from ..functions.text import bigrams_sql, words_sql
+from ..workspace import as_table
 from .sentiment import LinearScorer, hashed_buckets
 
 # Forest size, and hidden units of the embedding head.
@@ -71,7 +72,11 @@ def bigram_forest(
 
 
 def linear_score_model(
-    train: DataFrame, label: str, features: int = 1 << 18, stop: list[str] | None = None
+    train: DataFrame,
+    label: str,
+    features: int = 1 << 18,
+    stop: list[str] | None = None,
+    max_iter: int = 100,
 ) -> PipelineModel:
     """Linear regression on length-1 TF-IDF vectors of normalised text without stop words.
 
@@ -88,14 +93,14 @@ def linear_score_model(
             HashingTF(inputCol="kept", outputCol="counts", numFeatures=features),
         ]
     ).fit(train)
-    counted = counts.transform(train).select("counts", label)
+    counted = as_table(counts.transform(train).select("counts", label), "train-counts")
     idf = IDF(inputCol="counts", outputCol="ignored").fit(counted).idf
     scale = ElementwiseProduct(
         scalingVec=DenseVector(idf.toArray() + 1.0), inputCol="counts", outputCol="tfidf"
     )
     unit = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
     regression = LinearRegression(
-        labelCol=label, predictionCol="sentiment_score", regParam=0.1, maxIter=50
+        labelCol=label, predictionCol="sentiment_score", regParam=0.1, maxIter=max_iter
     ).fit(unit.transform(scale.transform(counted)))
     return PipelineModel(stages=[*counts.stages, scale, unit, regression])
 
@@ -139,7 +144,7 @@ def fit_linear_scorer(
     )
     rows = counter.transform(train.select(hashed.alias("hashed"), F.col(label).alias("label")))
     model = LogisticRegression(family="multinomial", maxIter=20, regParam=0.01).fit(
-        rows.select("features", "label")
+        as_table(rows.select("features", "label"), "train-counts")
     )
     weights = np.zeros((SENTIMENT_CLASSES, buckets))
     # A class the training rows lack never wins.

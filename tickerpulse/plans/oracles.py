@@ -27,6 +27,7 @@ WHITESPACE = """CASE WHEN text <> '' AND regexp_matches(text, '^[ \\t\\n\\x0B\\f
 SCRIPT = "regexp_extract_all(text, '{}')".format(
     "|".join(f"[^\\P{{{name}}}\\s\\p{{Z}}\\x{{85}}]+" for name in text.SCRIPTS)
 )
+SCRIPT_LOWER = SCRIPT.replace("(text,", "(lower(text),")
 
 
 def _without(tokens: str, words: str, fold: str = "lower(w)") -> str:
@@ -227,6 +228,12 @@ FROM documents""",
     "tokens_truncated": _token_report(f"({WORD})[1:512]"),
     "bigrams": f"""SELECT doc_id, CAST(len(p) AS INTEGER) AS n, array_to_string(p, '|') AS tokens
 FROM (SELECT doc_id, {_pairs('t')} AS p FROM (SELECT doc_id, {CLEANED} AS t FROM documents))""",
+    "tokens_stemmed": f"""WITH x AS (SELECT doc_id, {_without(SCRIPT_LOWER, SHORT)} AS t FROM documents),
+y AS (SELECT doc_id, unnest(t) AS term, generate_subscripts(t, 1) AS pos FROM x),
+z AS (SELECT doc_id, count(*) AS n, string_agg(stem, '|' ORDER BY pos) AS tokens
+      FROM y JOIN ({_stems('SELECT DISTINCT term FROM y')}) s ON y.term = s.term GROUP BY doc_id)
+SELECT x.doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n, coalesce(tokens, '') AS tokens
+FROM x LEFT JOIN z ON x.doc_id = z.doc_id""",
     "term_freq": _tf(WORD),
     "doc_freq": f"SELECT term, count(*) AS df FROM ({_tf(WORD)}) GROUP BY term",
     "bigram_counts": _tf("p", PAIR_DOCS),

@@ -245,6 +245,16 @@ def bigrams(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def tokens_stemmed(spark: SparkSession, folder: str) -> DataFrame:
+    rows = jobs.draft_features(tables.articles(spark, folder))
+    return rows.select(
+        "doc_id",
+        F.size("stemmed_tokens").alias("n"),
+        F.array_join("stemmed_tokens", "|").alias("tokens"),
+    )
+
+
 # --- features ---------------------------------------------------------------------------------
 
 
@@ -568,7 +578,7 @@ def ml_sentiment(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def ml_linear_score(spark: SparkSession, folder: str) -> DataFrame:
     model = models.linear_score_model(
-        labelled_articles(spark, folder), "quality", features=1 << 13
+        labelled_articles(spark, folder), "quality", features=1 << 13, max_iter=10
     )
     return model.transform(tables.articles(spark, folder)).select("doc_id", "sentiment_score")
 

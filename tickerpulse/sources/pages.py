@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
 
 TITLE = "(?is)<title[^>]*>(.*?)</title>"
-BODY = "(?is)<article[^>]*>(.*?)</article>"
+BODY = "(?is)<article[^>]*>.*?</article>"
 LANGUAGE = '(?i)<html[^>]* lang="([a-z]+)'
 
 
@@ -27,8 +27,8 @@ def page_title(html: Column | str) -> Column:
 
 def page_body(html: Column | str) -> Column:
     """Text of the article element; null where the page has none, so the fetch counts as failed."""
-    found = F.col(html) if isinstance(html, str) else html
-    return F.when(found.rlike(BODY), plain_text(F.regexp_extract(found, BODY, 1)))
+    element = F.regexp_extract(html, BODY, 0)
+    return F.when(element != "", plain_text(element))
 
 
 def page_language(html: Column | str) -> Column:

@@ -34,12 +34,27 @@ def read_headlines_csv(
     )
 
 
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a table of fewer files than cores.
+
+    Such a file may be one row group and hence one task, however long its texts take to parse.
+    A table that is large by itself has enough splits and is left as it is, so no big table is
+    ever shuffled here.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if len(table.inputFiles()) < cores and table.rdd.getNumPartitions() <= 2 * cores:
+        return table.repartition(cores, key)
+    return table
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return read_parquet(spark, f"{folder}/documents.parquet", schemas.DOCUMENTS)
+    table = read_parquet(spark, f"{folder}/documents.parquet", schemas.DOCUMENTS)
+    return spread(table, "doc_id")
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return read_parquet(spark, f"{folder}/pages.parquet", schemas.PAGES)
+    table = read_parquet(spark, f"{folder}/pages.parquet", schemas.PAGES)
+    return spread(table, "page_id")
 
 
 def labels(spark: SparkSession, folder: str) -> DataFrame:

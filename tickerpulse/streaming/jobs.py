@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stopwords, text
 from ..functions.scores import scale_score
+from ..functions.stem import stem_words
 from ..schemas import ARTICLE, PREDICTION, SCORE
 from ..sources.messages import decode
 
@@ -24,6 +25,15 @@ def article_features(articles: DataFrame) -> DataFrame:
     )
 
 
+def draft_features(articles: DataFrame) -> DataFrame:
+    """The draft chain: script tokens, the short stop list, Porter stems."""
+    return (
+        articles.withColumn("tokens", text.tokens_script(F.lower("article")))
+        .withColumn("filtered_tokens", text.drop_words("tokens", stopwords.SHORT))
+        .withColumn("stemmed_tokens", stem_words("filtered_tokens"))
+    )
+
+
 def scaled_scores(messages: DataFrame) -> DataFrame:
     """Prediction messages to (ticker, aggregated_score)."""
     return decode(messages, PREDICTION).select(

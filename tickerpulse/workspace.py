@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tickerpulse-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder of the cluster (``spark.checkpoint.dir``).
 
@@ -19,9 +25,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
-    root = tempfile.mkdtemp(prefix="tickerpulse-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
