@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from tickerpulse.sources import messages as msg
+from tickerpulse.streaming import jobs
 
 GOOD = {"title": "T", "article": 'say "hi"\nété'}
 VALUES = [
@@ -59,6 +60,14 @@ def test_envelope_round_trip(spark):
     assert msg.decode(sent, keep=["offset"]).collect()[0] == (1, "T", 'a"b\\c\n')
 
 
+def test_ticker_is_an_optional_field(spark):
+    values = [(b'{"title":"T","article":"a","ticker":"AMZN"}', 1), (b'{"title":"U"}', 2)]
+    df = spark.createDataFrame(values, "value binary, offset long")
+    got = jobs.parsed_articles(df, with_ticker=True).collect()
+    assert [(r["title"], r["ticker"]) for r in got] == [("T", "AMZN"), ("U", None)]
+    assert "ticker" not in jobs.parsed_articles(df).columns
+
+
 def test_kafka_options():
     assert msg.kafka_options("h:9092", "news", "earliest") == {
         "kafka.bootstrap.servers": "h:9092",

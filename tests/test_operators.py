@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickerpulse.functions import text
 from tickerpulse.operators import articles as art
-from tickerpulse.operators import evaluate, features, headlines
+from tickerpulse.operators import evaluate, features, headlines, joins
 from tickerpulse.operators.joins import fits_broadcast, join_by_weight
 from tickerpulse.operators.ordering import top_per_key, with_position
 from tickerpulse.schemas import HEADLINE_COLUMNS
@@ -42,13 +42,21 @@ def test_join_by_weight_keeps_hot_rows_in_place(spark):
     assert "LeftAnti" in plan and "Union" in plan
 
 
-def test_join_by_weight_drops_unknown_keys_and_keeps_long_ones(spark):
-    long_key = "x" * 300
-    facts = spark.createDataFrame([(1, long_key), (2, long_key), (3, "no")], "id int, k string")
-    dim = spark.createDataFrame([(long_key, 2)], "k string, n long")
+def test_join_by_weight_drops_unknown_keys(spark):
+    facts = spark.createDataFrame([(1, "a"), (2, "a"), (3, "no")], "id int, k string")
+    dim = spark.createDataFrame([("a", 2)], "k string, n long")
     assert rows(join_by_weight(facts, dim, "k", "n", rows=0, hot_rows=5).select("id")) == [(1,), (2,)]
 
 
+def test_join_by_weight_with_heavy_keys_too_wide_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *args: False)
+    facts = spark.createDataFrame([(i, "x" * 2000) for i in range(5)], "id int, k string")
+    dim = spark.createDataFrame([("x" * 2000, 5)], "k string, n long")
+    joined = join_by_weight(facts, dim, "k", "n", rows=0, hot_rows=5)
+    assert "LeftAnti" not in joined._jdf.queryExecution().toString()
+    assert joined.count() == 5
+
+
 def test_fits_broadcast_measures(spark):
     df = spark.range(100)
     assert fits_broadcast(df) and not fits_broadcast(df, rows=99) and not fits_broadcast(df, size=100)
@@ -209,15 +217,10 @@ def test_page_text(spark):
     assert got["u3"][1] == "" and got["u4"][1] is None
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_lookup_takes_the_newest_copy_and_drops_misses(spark, bounded):
-    hits, pages = shop(spark)
-    got = {r["rank"]: r["article"] for r in art.lookup(hits, pages, bounded).collect()}
-    assert got == {1: "one, newer", 3: "", 4: None, 5: "a < b two"}
-
-
-def test_lookup_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(art, "fits_broadcast", lambda df: False)
+@pytest.mark.parametrize("fits", [True, False])
+def test_lookup_takes_the_newest_copy_and_drops_misses(spark, monkeypatch, fits):
+    if not fits:
+        monkeypatch.setattr(art, "fits_broadcast", lambda df: False)
     hits, pages = shop(spark)
     got = {r["rank"]: r["article"] for r in art.lookup(hits, pages).collect()}
     assert got == {1: "one, newer", 3: "", 4: None, 5: "a < b two"}

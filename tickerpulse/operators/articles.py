@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.pages import page_body
 from ..workspace import as_table
-from .joins import fits_broadcast
+from .joins import fits_broadcast, join_by_weight
 from .ordering import top_per_key
 
 # Over-fetch factor and upper bound of one search.
@@ -26,27 +26,30 @@ def valid_article(keep_empty: bool = False) -> Column:
     return found if keep_empty else found & (F.col("article") != "")
 
 
-def lookup(hits: DataFrame, pages: DataFrame, bounded: bool = False) -> DataFrame:
+def page_texts(pages: DataFrame) -> DataFrame:
+    """(url, article): a URL may have been stored many times, the newest page counts."""
+    return (
+        pages.select("url", "page_id", page_body("html").alias("article"))
+        .groupBy("url")
+        .agg(F.max_by("article", "page_id").alias("article"))
+    )
+
+
+def lookup(hits: DataFrame, pages: DataFrame) -> DataFrame:
     """Attach the page text to each hit by trimmed URL; hits without a page are dropped.
 
-    A URL may have been stored many times: the newest page counts.  Few hits (``bounded``, or
-    measured) are broadcast, so only matching pages are parsed and one row per URL and task is
-    shuffled.  Otherwise pages are first reduced to one per URL, on the key of the join.
+    Hits that fit (measured) are broadcast, so only their pages are parsed and shuffled.  Beyond
+    that, pages are reduced to one text per wanted URL on the key of the join, and a URL shared
+    by many hits is handled by its weight.
     """
-    hits = hits.withColumn("_url", F.trim("url"))
-    if not bounded:
-        hits = as_table(hits, "hits")
-        bounded = fits_broadcast(hits)
-    stored = pages.withColumnRenamed("url", "_url")
-    if bounded:
-        stored = stored.join(F.broadcast(hits.select("_url")), "_url", "left_semi")
-    texts = (
-        stored.select("_url", "page_id", page_body("html").alias("article"))
-        .groupBy("_url")
-        .agg(F.max_by("article", "page_id").alias("article"))
-    )
-    right = F.broadcast(hits) if bounded else hits
-    return texts.join(right, "_url").drop("_url")
+    hits = as_table(hits.withColumn("url", F.trim("url")), "hits")
+    if fits_broadcast(hits):
+        wanted = F.broadcast(hits.select("url"))
+        texts = page_texts(pages.join(wanted, "url", "left_semi"))
+        return texts.join(F.broadcast(hits), "url")
+    asked = hits.groupBy("url").agg(F.count("*").alias("_n"))
+    texts = as_table(page_texts(pages).join(asked, "url"), "texts")
+    return join_by_weight(hits, texts, "url", "_n").drop("_n")
 
 
 def top_articles(
@@ -58,7 +61,7 @@ def top_articles(
     """
     asked = hits.orderBy("rank").limit(hit_limit(count))
     return (
-        lookup(asked, pages, bounded=True)
+        lookup(asked, pages)
         .filter(valid_article(keep_empty))
         .orderBy("rank")
         .limit(count)

@@ -10,8 +10,6 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Heavy keys to broadcast when the whole table is too large for it.
 HOT_ROWS = 100_000
-# A key longer than this never goes into a broadcast, which bounds the bytes of one.
-HOT_KEY_CHARS = 256
 
 
 def fits_broadcast(
@@ -37,15 +35,16 @@ def join_by_weight(
     A small ``dim`` (measured) is broadcast.  Otherwise: the weights sum to the number of fact
     rows, so fewer than ``hot_rows`` keys can hold more than a ``1/hot_rows`` share each.  Those
     are broadcast and their rows stay where they are; only rows of rarer keys are shuffled, and
-    none of these keys is heavy.
+    none of these keys is heavy.  Should even the heavy keys be too wide, both sides are
+    shuffled and AQE splits the skewed partitions.
     """
     if fits_broadcast(dim, rows):
         return facts.join(F.broadcast(dim), key)
     total = dim.agg(F.sum(weight)).first()[0]
-    is_hot = (F.col(weight) > total / hot_rows) & (
-        F.octet_length(F.col(key).cast("string")) <= HOT_KEY_CHARS
-    )
+    is_hot = F.col(weight) > total / hot_rows
     hot, cold = dim.filter(is_hot), dim.filter(~is_hot)
+    if not fits_broadcast(hot, hot_rows):
+        return facts.join(dim, key)
     head = facts.join(F.broadcast(hot), key)
     tail = facts.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return head.unionByName(tail)

@@ -186,6 +186,9 @@ RAW_MESSAGES = f"SELECT doc_id, 'news' AS topic, {PLAIN_JSON} AS value FROM ({AR
 PAIR_DOCS = f"(SELECT doc_id, {_pairs('t')} AS p FROM (SELECT doc_id, {WORD} AS t FROM documents))"
 HEADLINE_PAIRS = f"""SELECT doc_id, part, {_pairs('t')} AS p
 FROM (SELECT doc_id, part, {WORDS.format(c='article')} AS t FROM ({TRAIN_TEST}))"""
+NORMALIZED = _without(
+    WORDS.format(c="regexp_replace(lower(text), '[^a-zA-Z0-9\\s]', '', 'g')"), ENGLISH
+)
 CLEANED = _without(WHITESPACE, ENGLISH)
 
 ORACLES: dict[str, str] = {
@@ -241,13 +244,7 @@ FROM x LEFT JOIN z ON x.doc_id = z.doc_id""",
 FROM (SELECT DISTINCT unnest(p) AS term FROM {PAIR_DOCS})""",
     "tfidf_log1p": _tfidf(KEPT, LOG1P),
     "tfidf_l2": _tfidf(WORD, SMOOTH, l2=True),
-    "tfidf_stop_l2": _tfidf(
-        _without(
-            WORDS.format(c="regexp_replace(lower(text), '[^a-zA-Z0-9\\s]', '', 'g')"), ENGLISH
-        ),
-        SMOOTH,
-        l2=True,
-    ),
+    "tfidf_stop_l2": _tfidf(NORMALIZED, SMOOTH, l2=True),
     "tfidf_spark": _tfidf(WORD, SPARK),
     "features_left_join": f"""SELECT a.doc_id, title, term, weight FROM ({ARTICLES}) a
 LEFT JOIN ({_tfidf(KEPT, SMOOTH, l2=True)}) f ON a.doc_id = f.doc_id""",
@@ -291,6 +288,7 @@ UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support),
     "stream_features": f"""SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens,
   array_to_string({_pairs('t')}, '|') AS ngrams
 FROM (SELECT doc_id, {CLEANED} AS t FROM documents)""",
+    "stream_tfidf": _tfidf(NORMALIZED, SMOOTH, l2=True),
     "stream_preview": f"SELECT doc_id, title, article FROM ({ARTICLES}) ORDER BY doc_id LIMIT 20",
     "stream_scaled_scores": SCALED,
     "stream_table_sink": SCALED,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scores, stopwords, text
 from ..operators import articles as art
 from ..operators import evaluate, features, headlines, models, sentiment
-from ..schemas import ARTICLE, HEADLINE_COLUMNS, SCORE
+from ..schemas import ARTICLE, HEADLINE_COLUMNS, SCORE, WEIGHTS
 from ..sources import messages as msg
 from ..sources import pages as pg
 from ..sources import tables
@@ -115,7 +115,8 @@ def src_csv_headlines(spark: SparkSession, folder: str) -> DataFrame:
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-    read = tables.read_headlines_csv(spark, path)
+    # These cells hold no line break, so the files can be split.
+    read = tables.read_headlines_csv(spark, path, multi_line=False)
     return read.select("Date", "Label", headlines.concat_columns(HEADLINE_COLUMNS).alias("article"))
 
 
@@ -306,12 +307,14 @@ def tfidf_l2(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(features.fit_idf(docs, "tokens").transform(docs, "smooth", l2=True))
 
 
+def normalized_docs(articles: DataFrame) -> DataFrame:
+    words = text.tokens_word(text.normalize("article"))
+    return articles.select("doc_id", text.drop_words(words, stopwords.ENGLISH).alias("tokens"))
+
+
 @query
 def tfidf_stop_l2(spark: SparkSession, folder: str) -> DataFrame:
-    words = text.tokens_word(text.normalize("article"))
-    docs = tables.articles(spark, folder).select(
-        "doc_id", text.drop_words(words, stopwords.ENGLISH).alias("tokens")
-    )
+    docs = normalized_docs(tables.articles(spark, folder))
     return rounded(features.fit_idf(docs, "tokens").transform(docs, "smooth", l2=True))
 
 
@@ -482,6 +485,21 @@ def stream_features(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def stream_tfidf(spark: SparkSession, folder: str) -> DataFrame:
+    """Frequencies of the stored corpus, applied to every batch of the stream."""
+    model = features.fit_idf(normalized_docs(tables.articles(spark, folder)), "tokens")
+    parsed = jobs.parsed_articles(article_stream(spark, folder))
+    docs = normalized_docs(parsed.withColumnRenamed("offset", "doc_id"))
+    path = scratch_path(spark, "tfidf")
+    sinks.run_bounded(
+        sinks.to_table(
+            docs, path, checkpoint(spark), per_batch=lambda b: model.transform(b, "smooth", l2=True)
+        )
+    )
+    return rounded(sinks.read_table(spark, path, WEIGHTS).drop(sinks.BATCH))
+
+
 @query
 def stream_preview(spark: SparkSession, folder: str) -> DataFrame:
     parsed = jobs.parsed_articles(article_stream(spark, folder))

@@ -42,6 +42,15 @@ SCORE = T.StructType(
     ]
 )
 
+# Weight of a term in a document.
+WEIGHTS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType(), True),
+        T.StructField("term", T.StringType(), True),
+        T.StructField("weight", T.DoubleType(), True),
+    ]
+)
+
 N_HEADLINES = 25
 HEADLINE_COLUMNS = [f"Top{i}" for i in range(1, N_HEADLINES + 1)]
 HEADLINES = T.StructType(

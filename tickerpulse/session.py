@@ -22,6 +22,8 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Articles are long: keep the batches sent to Python scorers moderate.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from ..functions import stopwords, text
 from ..functions.scores import scale_score
 from ..functions.stem import stem_words
-from ..schemas import ARTICLE, PREDICTION, SCORE
+from ..schemas import ARTICLE, PREDICTION, SCORE, TICKER_ARTICLE
 from ..sources.messages import decode
 
 
-def parsed_articles(messages: DataFrame, tolerant: bool = False) -> DataFrame:
-    return decode(messages, ARTICLE, ["offset"], tolerant)
+def parsed_articles(
+    messages: DataFrame, tolerant: bool = False, with_ticker: bool = False
+) -> DataFrame:
+    """Article messages; ``with_ticker`` also reads the optional symbol."""
+    return decode(messages, TICKER_ARTICLE if with_ticker else ARTICLE, ["offset"], tolerant)
 
 
 def article_features(articles: DataFrame) -> DataFrame:

@@ -59,11 +59,21 @@ def _per_batch(
     )
 
 
-def to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataStreamWriter:
-    """Table with one folder per batch."""
+def to_table(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    mode: str = "append",
+    per_batch: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+) -> DataStreamWriter:
+    """Table with one folder per batch.
+
+    ``per_batch`` is applied to each batch as a bounded frame, for operators a stream itself does
+    not allow, such as TF-IDF weights scaled per document.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        per_batch(batch).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
     return _per_batch(df, write, checkpoint, mode)
 
@@ -78,12 +88,9 @@ def to_preview_table(
 ) -> DataStreamWriter:
     """First ``n`` rows of every batch as a table, cut on the executors."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.orderBy(*order).limit(n).write.mode("overwrite").parquet(
-            f"{path}/{BATCH}={batch_id}"
-        )
-
-    return _per_batch(df, write, checkpoint, "append")
+    return to_table(
+        df, path, checkpoint, per_batch=lambda batch: batch.orderBy(*order).limit(n)
+    )
 
 
 def to_console(
