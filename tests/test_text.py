@@ -94,6 +94,8 @@ def test_sql_forms_match_columns(spark):
     df = spark.createDataFrame([("The cat saw the cat",), ("",), ("one",)], "c string")
     words = df.select(text.tokens_word("c").alias("w"), F.expr(text.words_sql("c")).alias("s"))
     assert words.filter("w <> s").count() == 0
+    clean = df.select(text.normalize("c").alias("n"), F.expr(text.normalize_sql("c")).alias("s"))
+    assert clean.filter("n <> s").count() == 0
     pairs = words.select(text.bigrams("w").alias("p"), F.expr(text.bigrams_sql("w")).alias("s"))
     assert pairs.filter("p <> s").count() == 0
 

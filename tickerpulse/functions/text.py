@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
+KEPT_RUN = r"[a-zA-Z0-9\s]+"
 # Characters Java's \s stands for.
 BLANKS = " \t\n\x0b\f\r"
 
@@ -42,8 +43,12 @@ def strip_non_letters(c: Column | str) -> Column:
 
 
 def normalize(c: Column | str) -> Column:
-    """Lower-case, then delete everything but ASCII letters, digits and white space."""
-    return F.regexp_replace(F.lower(_col(c)), r"[^a-zA-Z0-9\s]", "")
+    """Lower-case, then delete everything but ASCII letters, digits and white space.
+
+    Joining the runs to keep gives what replacing the other characters gives; Java's matcher is
+    several times faster on long runs than on looking for rare single characters.
+    """
+    return F.array_join(F.regexp_extract_all(F.lower(_col(c)), F.lit(KEPT_RUN), F.lit(0)), "")
 
 
 def first_line(c: Column | str) -> Column:
@@ -72,6 +77,11 @@ def words_sql(c: str) -> str:
     return f"regexp_extract_all(lower({c}), r'{WORD_PATTERN}', 0)"
 
 
+def normalize_sql(c: str) -> str:
+    """``normalize`` as SQL text."""
+    return f"array_join(regexp_extract_all(lower({c}), r'{KEPT_RUN}', 0), '')"
+
+
 def bigrams_sql(c: str) -> str:
     """``bigrams`` as SQL text."""
     return (

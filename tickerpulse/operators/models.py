@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import stopwords
-from ..functions.text import bigrams_sql, words_sql
+from ..functions.text import bigrams_sql, normalize_sql, words_sql
 from ..workspace import as_table
 from .sentiment import LinearScorer, hashed_buckets
 
@@ -85,7 +85,7 @@ def linear_score_model(
     """
     counts = Pipeline(
         stages=[
-            _add("regexp_replace(lower(coalesce(article, '')), r'[^a-zA-Z0-9\\s]', '')", "clean"),
+            _add(normalize_sql("coalesce(article, '')"), "clean"),
             _words("clean"),
             StopWordsRemover(
                 inputCol="words", outputCol="kept", stopWords=stop or stopwords.ENGLISH

@@ -62,7 +62,8 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def embeddings(spark: SparkSession, folder: str) -> DataFrame:
-    return read_parquet(spark, f"{folder}/embeddings.parquet", schemas.EMBEDDINGS)
+    table = read_parquet(spark, f"{folder}/embeddings.parquet", schemas.EMBEDDINGS)
+    return spread(table, "vec_id")
 
 
 def as_articles(docs: DataFrame, *extra: str) -> DataFrame:
@@ -79,7 +80,7 @@ def articles(spark: SparkSession, folder: str) -> DataFrame:
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
     """One prediction per stored event."""
     events = read_parquet(spark, f"{folder}/events.parquet", schemas.EVENTS)
-    return events.select(
+    return spread(events, "event_id").select(
         "event_id",
         F.col("user_id").cast("string").alias("ticker"),
         F.col("value").alias("sentiment_prediction"),
