@@ -15,23 +15,22 @@ def toy(spark):
 
 
 def test_linear_scorer_learns_and_matches_spark(spark, toy):
-    scorer = models.fit_linear_scorer(toy, buckets=256)
-    rows = sentiment.with_sentiment(toy, scorer).collect()
+    weights, bias = models.fit_linear_weights(toy, buckets=256)
+    rows = sentiment.with_sentiment(toy, sentiment.linear_scorer(weights, bias)).collect()
     names = {0: "negative", 1: "neutral", 2: "positive"}
     assert sum(r["sentiments"] == names[r["class"]] for r in rows) >= 55
     hashed = toy.select("doc_id", sentiment.hashed_buckets("article", 256).alias("b")).collect()
     for r, h in zip(sorted(rows), sorted(hashed)):
-        want = scorer.weights[:, h["b"]].sum(axis=1) + scorer.bias
+        want = weights[:, h["b"]].sum(axis=1) + bias
         assert np.allclose(r["logits"], want)
 
 
 def test_scorer_is_loaded_per_task_and_skips_nulls(spark):
-    class Length:
-        def load(self):
-            return lambda texts: np.array([[len(t), 0.0, 1.5] for t in texts])
+    def load():
+        return lambda texts: np.array([[len(t), 0.0, 1.5] for t in texts])
 
     df = spark.createDataFrame([("abcd",), (None,), ("",)], "article string")
-    got = sentiment.with_sentiment(df, Length()).collect()
+    got = sentiment.with_sentiment(df, load).collect()
     assert [r["sentiments"] for r in got] == ["negative", None, "positive"]
     assert got[1]["logits"] is None
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..functions import stopwords
 from ..functions.text import bigrams_sql, normalize_sql, words_sql
 from ..workspace import as_table
-from .sentiment import LinearScorer, hashed_buckets
+from .sentiment import hashed_buckets
 
 # Forest size, and hidden units of the embedding head.
 FOREST_TREES = 200
@@ -134,10 +134,11 @@ def text_classifier(features: int = 1 << 16, label: str = "class") -> Pipeline:
     )
 
 
-def fit_linear_scorer(
+def fit_linear_weights(
     train: DataFrame, text: str = "article", label: str = "class", buckets: int = 1 << 14
-) -> LinearScorer:
-    """The default three-class scorer: fitted on Spark, small enough to ship to every task."""
+) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and bias of the default three-class scorer: fitted on Spark, small enough to ship
+    to every task."""
     hashed = F.transform(hashed_buckets(text, buckets), lambda b: b.cast("string"))
     counter = CountVectorizerModel.from_vocabulary(
         [str(i) for i in range(buckets)], inputCol="hashed", outputCol="features"
@@ -151,7 +152,7 @@ def fit_linear_scorer(
     bias = np.full(SENTIMENT_CLASSES, -1e9)
     weights[: model.numClasses] = model.coefficientMatrix.toArray()
     bias[: model.numClasses] = model.interceptVector.toArray()
-    return LinearScorer(weights, bias)
+    return weights, bias
 
 
 def save_model(model: PipelineModel, path: str) -> None:

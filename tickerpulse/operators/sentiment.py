@@ -1,15 +1,14 @@
 """Sentiment per article: a scorer gives logits, built-in expressions turn them into labels.
 
-A scorer is any object with ``load()``, run once per Python worker task, that returns a function
-from a list of texts to one row of logits per text.
+A scorer is a function without arguments, run once per Python worker task, that loads the model and
+returns a function from a list of texts to one row of logits per text.  Scorers made here are
+closures, so executors need no copy of this package.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator, Mapping
-from dataclasses import dataclass
-from typing import Protocol
 
 import numpy as np
 import pandas as pd
@@ -21,11 +20,7 @@ from pyspark.sql import types as T
 from ..functions import scores
 from ..functions.text import WORD_PATTERN, tokens_word
 
-Predict = Callable[[list[str]], np.ndarray]
-
-
-class Scorer(Protocol):
-    def load(self) -> Predict: ...
+Scorer = Callable[[], Callable[[list[str]], np.ndarray]]
 
 
 def score(texts: Column | str, scorer: Scorer) -> Column:
@@ -33,7 +28,7 @@ def score(texts: Column | str, scorer: Scorer) -> Column:
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def logits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        predict = scorer.load()
+        predict = scorer()
         for batch in batches:
             known = batch.notna()
             rows = iter(predict(batch[known].tolist()) if known.any() else ())
@@ -58,30 +53,28 @@ def with_sentiment(
 
 
 def hashed_buckets(text: Column | str, buckets: int) -> Column:
-    """Bucket of every word of a text; :class:`LinearScorer` computes the same in Python."""
+    """Bucket of every word of a text; :func:`linear_scorer` computes the same in Python."""
     return F.transform(
         tokens_word(text), lambda w: F.crc32(w.cast("binary")) % F.lit(buckets)
     )
 
 
-@dataclass(frozen=True)
-class LinearScorer:
-    """Logits of a linear model over hashed word counts.  Its size is classes x buckets."""
+def linear_scorer(weights: np.ndarray, bias: np.ndarray) -> Scorer:
+    """Linear model over hashed word counts; ``weights`` is classes x buckets, its whole size."""
+    table = weights.T.copy()
+    pattern, buckets = WORD_PATTERN, weights.shape[1]
 
-    weights: np.ndarray
-    bias: np.ndarray
-
-    def load(self) -> Predict:
-        words = regex.compile(WORD_PATTERN)
-        buckets = self.weights.shape[1]
-        table = self.weights.T.copy()
+    def load() -> Callable[[list[str]], np.ndarray]:
+        words = regex.compile(pattern)
 
         def one(text: str) -> np.ndarray:
             hashed = [zlib.crc32(w.encode()) % buckets for w in words.findall(text.lower())]
-            return table[hashed].sum(axis=0) + self.bias
+            return table[hashed].sum(axis=0) + bias
 
         return lambda texts: np.stack([one(t) for t in texts])
 
+    return load
+
 
 def register_text_function(
     spark: SparkSession, name: str, function: Callable[[str], object], returns: T.DataType | str

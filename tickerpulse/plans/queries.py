@@ -588,7 +588,8 @@ def ml_random_forest(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ml_sentiment(spark: SparkSession, folder: str) -> DataFrame:
-    scorer = models.fit_linear_scorer(labelled_articles(spark, folder), buckets=1 << 12)
+    weights, bias = models.fit_linear_weights(labelled_articles(spark, folder), buckets=1 << 12)
+    scorer = sentiment.linear_scorer(weights, bias)
     scored = sentiment.with_sentiment(tables.articles(spark, folder), scorer)
     return scored.select("doc_id", "title", "sentiments")
 
