@@ -80,11 +80,20 @@ BODY = (
     f"CASE WHEN regexp_matches(html, {BODY_PATTERN}) "
     f"THEN {_plain(f'regexp_extract(html, {BODY_PATTERN}, 1)')} END"
 )
-HITS = f"""SELECT page_id AS rank, {TITLE} AS title, url, {BODY} AS article,
+HITS = f"""SELECT page_id AS rank, {TITLE} AS title, url,
   regexp_extract(html, '(?i)<html[^>]* lang="([a-z]+)', 1) AS lang
 FROM pages WHERE regexp_extract(html, '(?i)<html[^>]* lang="([a-z]+)', 1) = 'en'
   AND TIMESTAMP '{NEWEST}' - to_hours(CAST(length(html) % 336 AS INTEGER))
       >= TIMESTAMP '{NEWEST}' - INTERVAL 7 DAY"""
+# Every URL with the text of its newest page.
+TEXTS = f"""SELECT url AS page_url, {BODY} AS article FROM pages
+QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id DESC) = 1"""
+
+
+def _looked_up(hits: str) -> str:
+    return f"SELECT * FROM ({hits}) JOIN ({TEXTS}) ON trim(url) = page_url"
+
+
 TOPIC_HITS = f"SELECT * FROM ({HITS}) WHERE contains(lower(title), '{TOPIC}')"
 
 PLAIN_JSON = "CAST(json_object('title', title, 'article', article) AS VARCHAR)"
@@ -207,17 +216,17 @@ FROM ({HEADLINE_ROWS})""",
     "page_extract": f"""SELECT page_id, trim(url) AS url, {TITLE} AS title, {BODY} AS article FROM pages""",
     "article_search": f"""SELECT rank, title, url, lang FROM ({TOPIC_HITS})
 ORDER BY rank LIMIT {hit_limit(40)}""",
-    "article_lookup": f"SELECT rank, title, article FROM ({HITS})",
+    "article_lookup": f"SELECT rank, title, article FROM ({_looked_up(HITS)})",
     "article_nonempty": f"""SELECT doc_id, title, article FROM ({ARTICLES})
 WHERE lang NOT IN ('es', 'de') AND article <> ''""",
     "article_keep_empty": f"""SELECT doc_id, title, CASE WHEN lang = 'es' THEN '' ELSE article END AS article
 FROM ({ARTICLES}) WHERE lang <> 'de'""",
     "article_topn": f"""SELECT rank, title, article
-FROM (SELECT * FROM ({TOPIC_HITS}) ORDER BY rank LIMIT {hit_limit(20)})
+FROM ({_looked_up(f"SELECT * FROM ({TOPIC_HITS}) ORDER BY rank LIMIT {hit_limit(20)}")})
 WHERE article IS NOT NULL AND article <> '' ORDER BY rank LIMIT 20""",
     "article_topn_per_topic": f"""WITH h AS (SELECT *, lower(split_part(title, ' ', 1)) AS topic FROM ({HITS})),
 asked AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY topic ORDER BY rank) <= {hit_limit(5)})
-SELECT topic, rank, title, article FROM asked WHERE article IS NOT NULL AND article <> ''
+SELECT topic, rank, title, article FROM ({_looked_up("SELECT * FROM asked")}) WHERE article IS NOT NULL AND article <> ''
 QUALIFY row_number() OVER (PARTITION BY topic ORDER BY rank) <= 5""",
     "preview_head": f"SELECT doc_id, title, article FROM ({ARTICLES}) ORDER BY doc_id LIMIT 20",
     "headline_clean": f"SELECT doc_id, {CLEAN.format('text')} AS article FROM documents",
