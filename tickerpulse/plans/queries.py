@@ -39,7 +39,7 @@ def article_messages(spark: SparkSession, folder: str) -> DataFrame:
 def mixed_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Messages as the various producers wrote them, one kind per language: plain object,
     object encoded twice, a single character, an array."""
-    docs = tables.as_articles(tables.documents(spark, folder), "lang")
+    docs = tables.articles(spark, folder, "lang")
     plain = msg.encode(docs, ["title", "article"])
     array = F.to_json(F.array("title", "article"))
     as_text = F.to_json(F.array(plain))
@@ -147,7 +147,7 @@ def article_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 def fetched(spark: SparkSession, folder: str) -> DataFrame:
     """Articles of which some fetches failed (null) and some came back empty, by language."""
-    docs = tables.as_articles(tables.documents(spark, folder), "lang")
+    docs = tables.articles(spark, folder, "lang")
     body = F.when(F.col("lang") == "es", "").when(F.col("lang") != "de", F.col("article"))
     return docs.withColumn("article", body)
 
@@ -178,7 +178,7 @@ def article_topn_per_topic(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def preview_head(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.articles(spark, folder).orderBy("doc_id").limit(20)
+    return tables.as_articles(tables.documents(spark, folder)).orderBy("doc_id").limit(20)
 
 
 # --- text -------------------------------------------------------------------------------------
@@ -444,7 +444,7 @@ def article_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def prediction_stream(spark: SparkSession, folder: str) -> DataFrame:
-    events = tables.predictions(spark, folder)
+    events = tables.spread(tables.predictions(spark, folder), "event_id")
     messages = msg.to_messages(
         events, ["ticker", "sentiment_prediction"], "predictions", F.col("event_id")
     )

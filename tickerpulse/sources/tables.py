@@ -48,8 +48,7 @@ def spread(table: DataFrame, key: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    table = read_parquet(spark, f"{folder}/documents.parquet", schemas.DOCUMENTS)
-    return spread(table, "doc_id")
+    return read_parquet(spark, f"{folder}/documents.parquet", schemas.DOCUMENTS)
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,8 +61,7 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def embeddings(spark: SparkSession, folder: str) -> DataFrame:
-    table = read_parquet(spark, f"{folder}/embeddings.parquet", schemas.EMBEDDINGS)
-    return spread(table, "vec_id")
+    return read_parquet(spark, f"{folder}/embeddings.parquet", schemas.EMBEDDINGS)
 
 
 def as_articles(docs: DataFrame, *extra: str) -> DataFrame:
@@ -73,14 +71,14 @@ def as_articles(docs: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def articles(spark: SparkSession, folder: str) -> DataFrame:
-    return as_articles(documents(spark, folder))
+def articles(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
+    return as_articles(spread(documents(spark, folder), "doc_id"), *extra)
 
 
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
     """One prediction per stored event."""
     events = read_parquet(spark, f"{folder}/events.parquet", schemas.EVENTS)
-    return spread(events, "event_id").select(
+    return events.select(
         "event_id",
         F.col("user_id").cast("string").alias("ticker"),
         F.col("value").alias("sentiment_prediction"),
@@ -109,7 +107,9 @@ def labelled_predictions(spark: SparkSession, folder: str) -> DataFrame:
 def headlines(spark: SparkSession, folder: str) -> DataFrame:
     """Wide headline rows: line i of a labelled document is its i-th headline, the last column
     takes all lines that are left, and missing lines are null."""
-    docs = documents(spark, folder).select("doc_id", F.split("text", "\n").alias("lines"))
+    docs = spread(documents(spark, folder), "doc_id").select(
+        "doc_id", F.split("text", "\n").alias("lines")
+    )
     n = schemas.N_HEADLINES
     rest = F.when(
         F.size("lines") >= n, F.array_join(F.slice("lines", F.lit(n), F.size("lines")), " ")
