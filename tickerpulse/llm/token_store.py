@@ -104,7 +104,8 @@ def _unit_encoder(tokenizer_path: str):
         out: list[bytes | None] = [None] * len(units)
         for at in range(0, len(plain), 2000):
             group = plain[at : at + 2000]
-            found = tokenizer.encode("".join([units[i] for i in group]), add_special_tokens=False)
+            whole = "".join([units[i] for i in group])
+            found = tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0]
             ids = np.array(found.ids, dtype="<u4")
             starts = np.flatnonzero(opens[ids]) * 4
             if len(starts) == len(group):

@@ -7,12 +7,8 @@ Units repeat a lot, so that encoding each distinct unit once saves most of the w
 
 from __future__ import annotations
 
-import re
-
 import regex
 
-# Anything but single blanks and line feeds between words: such texts take the general path.
-_ODD = re.compile(r"[^\S \n]|[ \n]{2}|\A[ \n]|[ \n]\Z")
 # White space as Unicode defines it, which is what tokenizers go by (str.isspace knows more).
 _UNIT = regex.compile(r"\p{White_Space}*\P{White_Space}+|\p{White_Space}+")
 
@@ -48,7 +44,8 @@ def split(text: str) -> list[str]:
     """
     if not text:
         return []
-    if _ODD.search(text):
+    if " ".join(text.split()) != text.replace("\n", " "):
+        # More than single blanks and line feeds between words.
         return ["\0" + u for u in _UNIT.findall(text)]
     keys = text.replace("\n", " \n").split(" ")
     keys[0] = "\0" + keys[0]
