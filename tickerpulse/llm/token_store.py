@@ -28,6 +28,8 @@ from .common import id_and_text, worker_store
 from .units import UnitCache, by_bytes
 
 BLOCK_IDS = 65_536
+#: Units that a worker keeps with their ids (about 250 bytes each).
+CACHED_UNITS = 800_000
 DOC = "struct<doc_id: bigint, first: bigint, n_tokens: bigint>"
 BLOCK = (
     f"shard int, block int, first bigint, n_ids int, docs array<{DOC}>, planes array<binary>"
@@ -133,7 +135,7 @@ def write_store(
 
     def blocks(batches):
         cache = worker_store(
-            f"units:{tokenizer_path}", lambda: UnitCache(_unit_encoder(tokenizer_path))
+            f"units:{tokenizer_path}", lambda: UnitCache(_unit_encoder(tokenizer_path), CACHED_UNITS)
         )
         shard = TaskContext.get().partitionId()
         held, held_from, total, number, open_docs, rows = [], 0, 0, 0, [], []

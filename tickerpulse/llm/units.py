@@ -16,10 +16,12 @@ _UNIT = regex.compile(r"\p{White_Space}*\P{White_Space}+|\p{White_Space}+")
 class UnitCache:
     """Values of units: ``values(texts)`` gives for every text the list of its units' values.
 
-    ``encode(units)`` computes values of new units.  At most ``limit`` units are kept; a full
-    cache starts anew.
+    ``encode(units)`` computes values of new units.  About ``limit`` units of up to ``KEPT``
+    characters are kept; a full cache starts anew.
     """
 
+    KEPT = 64
+
     def __init__(self, encode, limit: int = 400_000):
         self.encode = encode
         self.limit = limit
@@ -33,7 +35,11 @@ class UnitCache:
         known = self.known
         known.update(zip(new, self.encode([full(u) for u in new]), strict=True))
         get = known.__getitem__
-        return [list(map(get, units)) for units in cut]
+        found = [list(map(get, units)) for units in cut]
+        for u in new:
+            if len(u) > self.KEPT:
+                del known[u]
+        return found
 
 
 def split(text: str) -> list[str]:
