@@ -24,6 +24,9 @@ from .units import UnitCache, by_bytes
 # The pre-token pattern of byte-level BPE.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Units that a worker keeps with their ids (about 450 bytes each).
+CACHED_UNITS = 300_000
+
 _NO_RANK = np.iinfo(np.int64).max
 _SHIFT = 20
 
@@ -145,7 +148,9 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, texts_out: bool = False)
 
     def run(batches):
         model = worker_store(f"bpe:{tokenizer_path}", lambda: Bpe(tokenizer_path))
-        cache = worker_store(f"bpe-units:{tokenizer_path}", lambda: UnitCache(model.encode_units))
+        cache = worker_store(
+            f"bpe-units:{tokenizer_path}", lambda: UnitCache(model.encode_units, CACHED_UNITS)
+        )
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
             texts = batch.column("text").to_pylist()

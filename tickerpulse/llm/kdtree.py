@@ -159,9 +159,11 @@ def search(tree: Tree, queries: np.ndarray, best: Best, only_best_leaf: bool = F
         full = best.scores[going, -1]
         useful = (reach > full) | (tree.least_id[leaf] < kth)
         rows, leaf = going[useful], leaf[useful]
+        if not len(rows):
+            continue
         by_leaf = np.argsort(leaf, kind="stable")
         rows, leaf = rows[by_leaf], leaf[by_leaf]
-        cuts = np.flatnonzero(np.append(True, leaf[1:] != leaf[:-1])) if len(leaf) else []
+        cuts = np.flatnonzero(np.append(True, leaf[1:] != leaf[:-1]))
         for at, stop in zip(cuts, [*cuts[1:], len(leaf)], strict=True):
             a, b = tree.leaves[leaf[at]]
             group = rows[at:stop]

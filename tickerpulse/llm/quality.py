@@ -37,8 +37,8 @@ SPREAD = 6.0
 #: Measures with the least distance of their fence from the median.
 FLOORS = {
     "symbol_rate": 0.25,
-    "dup_line_rate": 0.3,
-    "repeat_rate": 0.15,
+    "dup_line_rate": 0.5,
+    "repeat_rate": 0.25,
     "capital_rate": 0.3,
     "mark_rate": 0.5,
     "word_length": 6.0,
@@ -161,8 +161,8 @@ def thresholds(measured: DataFrame) -> DataFrame:
     """Fences of every (lang, source), stored: its own, or its language's, or the corpus's."""
     sketched = as_table(sketches(measured), "quality-sketches")
     by_lang = as_table(_merged(sketched, "lang"), "quality-lang").withColumnRenamed("lang", "_lang")
-    whole = as_table(_merged(sketched), "quality-all")
-    # One row, and as many as there are languages in the corpus.
+    whole = as_table(_merged(sketched).filter("n > 0"), "quality-all")
+    # One row (none for an empty corpus), and as many as there are languages in the corpus.
     joined = (
         _fences(sketched, "g_", "lang", "source")
         .join(_fences(by_lang, "l_", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")), "left")

@@ -68,8 +68,12 @@ _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _WORD_TABLE = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)
 )
-_MARKED = re.compile(rb"[a-z]+[0-9@$!|*]+[a-z]+|[0-9@$!]+[a-z]{2,}")
-_PLAIN = bytes.maketrans(b"013457@$!|", b"oieastasii")
+_MARKED = re.compile(rb"[A-Za-z][0-9@$]+[A-Za-z]")
+# Digits and signs that stand for letters become these; the rest as above.
+_LEET = dict(zip(b"013457@$", b"oieastas", strict=True))
+_PLAIN_TABLE = bytes(_LEET.get(b, _WORD_TABLE[b]) for b in range(256))
+_LEET_SIGNS = bytes(_LEET)
+
 
 
 def words_of(text: str) -> list[bytes]:
@@ -86,8 +90,11 @@ def features_of(text: str, lexicon: dict[bytes, float], second: frozenset[bytes]
         not second.isdisjoint(words[max(0, i - NEAR) : i] + words[i + 1 : i + 1 + NEAR])
         for i in places
     )
-    marked = _MARKED.findall(raw.translate(bytes.maketrans(_UPPER, _UPPER.lower())))
-    disguised = sum(m.translate(_PLAIN, b"*") in lexicon for m in marked)
+    marked = disguised = 0
+    if len(raw.translate(None, _LEET_SIGNS)) < len(raw):
+        marked = len(_MARKED.findall(raw))
+        plain = sum(w in lexicon for w in raw.translate(_PLAIN_TABLE).split())
+        disguised = max(0, plain - len(hits))
     size = max(1, len(raw))
     per = 1.0 / max(1, n)
     return [
@@ -101,7 +108,7 @@ def features_of(text: str, lexicon: dict[bytes, float], second: frozenset[bytes]
         (size - len(raw.translate(None, _PUNCTUATION))) / size,
         raw.count(b"!") / size,
         float(disguised),
-        len(marked) * per,
+        marked * per,
         len(raw) * per if n else 0.0,
     ]
 
@@ -211,7 +218,7 @@ def learn_lexicon(training: DataFrame, limit: int = LEXICON) -> dict[bytes, floa
         .count()
         .groupBy("word")
         .agg(F.count("*").alias("kinds"), F.sum("count").alias("places"))
-        .filter("kinds >= 0.4 * places")
+        .filter((F.col("kinds") >= 0.4 * F.col("places")) & (F.col("kinds") >= support))
         .collect()
     )
     return {bytes(r["word"]): candidates[bytes(r["word"])] for r in varied}
