@@ -29,7 +29,7 @@ def test_same_rows_as_sql(spark, duck, small, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert all(re.fullmatch(r"(ml_\w+|stream_predictions)", n) for n in set(QUERIES) - set(ORACLES))
+    assert all(re.fullmatch(r"(ml_\w+|stream_predictions|op\d+_\w+|pipeline)", n) for n in set(QUERIES) - set(ORACLES))
 
 
 def test_entry(spark):
