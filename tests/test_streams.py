@@ -91,7 +91,7 @@ def test_scores_from_topic_to_topic_to_table(spark, topic, tmp_path):
     table = str(tmp_path / "scores")
     stream = jobs.scores(spark.readStream.schema("value string").parquet(out["path"]))
     sinks.run_bounded(sinks.to_table(stream, table, str(tmp_path / "c2")))
-    stored = sinks.read_table(spark, table, SCORE).drop("batch_id")
+    stored = sinks.read_table(spark, table, SCORE).drop("query_id", "batch_id")
     assert rows(stored) == rows(jobs.scaled_scores(topic.batch()))
     assert jobs.score_count(stored).first()["count"] == 5
     assert ("A", "3") in rows(jobs.score_count_by_ticker(stored))
@@ -99,13 +99,24 @@ def test_scores_from_topic_to_topic_to_table(spark, topic, tmp_path):
 
 def test_replayed_batch_is_stored_once(spark, topic, tmp_path):
     topic([prediction("A", 1)])
-    table = str(tmp_path / "scores")
-    # A lost checkpoint replays everything under the same batch numbers.
+    table, check = str(tmp_path / "scores"), tmp_path / "c1"
+    for _ in range(2):
+        sinks.run_bounded(sinks.to_table(jobs.scaled_scores(topic.stream()), table, str(check)))
+        assert sinks.read_table(spark, table, SCORE).count() == 1
+        # As if the query had died before it noted the end of the batch.
+        (check / "commits" / "0").unlink()
+        (check / "commits" / ".0.crc").unlink(missing_ok=True)
+
+
+def test_queries_with_own_checkpoints_add_to_one_table(spark, topic, tmp_path):
+    topic([prediction("A", 1), prediction("B", 1)])
+    table, counts = str(tmp_path / "scores"), str(tmp_path / "counts")
     for check in ("c1", "c2"):
-        sinks.run_bounded(
-            sinks.to_table(jobs.scaled_scores(topic.stream()), table, str(tmp_path / check))
-        )
-    assert sinks.read_table(spark, table, SCORE).count() == 1
+        stream = jobs.scaled_scores(topic.stream())
+        sinks.run_bounded(sinks.to_table(stream, table, str(tmp_path / check)))
+        sinks.run_bounded(sinks.to_running_counts(stream, counts, str(tmp_path / f"n{check}")))
+    assert sinks.read_table(spark, table, SCORE).count() == 4
+    assert rows(sinks.latest_counts(spark, counts)) == [("A", "2"), ("B", "2")]
 
 
 def test_running_counts(spark, topic, tmp_path):

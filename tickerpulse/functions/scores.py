@@ -54,4 +54,5 @@ def sentiment(logits: Column | str, names: Mapping[int, str] = SENTIMENTS) -> Co
 
 def scale_score(score: Column | str, factor: float = 10) -> Column:
     """Scaled score; a value that is not a number gives null instead of failing the stream."""
-    return _col(score).try_cast("double") * F.lit(float(factor))
+    number = _col(score).try_cast("double")
+    return F.when(~F.isnan(number), number * F.lit(float(factor)))

@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 
 from .text import let
 
-# A consonant run and a vowel run; "y" is a vowel after a consonant.
+# A consonant run and a vowel run; "y" is a vowel after a consonant, so never at the start.
 _CONS = "[^aeiou][^aeiouy]*"
 _VOW = "[aeiouy][aeiou]*"
-M_POSITIVE = f"^(?:{_CONS})?{_VOW}{_CONS}"
-M_ONE = f"^(?:{_CONS})?{_VOW}{_CONS}(?:{_VOW})?$"
-M_OVER_ONE = f"^(?:{_CONS})?{_VOW}{_CONS}{_VOW}{_CONS}"
-HAS_VOWEL = f"^(?:{_CONS})?[aeiouy]"
+_START = f"^(?:{_CONS}{_VOW}|[aeiou]+)"
+M_POSITIVE = f"{_START}{_CONS}"
+M_ONE = f"{_START}{_CONS}(?:{_VOW})?$"
+M_OVER_ONE = f"{_START}{_CONS}{_VOW}{_CONS}"
+HAS_VOWEL = f"^(?:{_CONS}[aeiouy]|[aeiou])"
 # Ends consonant, vowel, consonant, where the last one is not w, x or y.
 ENDS_CVC = f"^{_CONS}[aeiouy][^aeiouwxy]$"
 

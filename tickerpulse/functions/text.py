@@ -99,13 +99,14 @@ def script_pattern(scripts: Iterable[str] = SCRIPTS) -> str:
     }
     return r"(?=[^\s\p{Z}\x{85}])(?:" + "|".join(
         runs.get(name, rf"\p{{Is{name}}}+") for name in scripts
-    ) + ")"
+    ) + r"|[^\s\p{Z}\x{85}])"
 
 
 def tokens_script(c: Column | str, scripts: Iterable[str] = SCRIPTS) -> Column:
     """Split at white space and wherever the Unicode script changes.
 
     Digits, punctuation and symbols share the script "Common", so a run of them is one token.
+    A character of any other script, or newer than the tables of the JVM, is a token by itself.
     """
     return F.regexp_extract_all(_col(c), F.lit(script_pattern(scripts)), F.lit(0))
 

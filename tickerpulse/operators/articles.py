@@ -26,29 +26,35 @@ def valid_article(keep_empty: bool = False) -> Column:
     return found if keep_empty else found & (F.col("article") != "")
 
 
-def page_texts(pages: DataFrame) -> DataFrame:
-    """(url, article): a URL may have been stored many times, the newest page counts."""
-    return (
-        pages.select("url", "page_id", page_body("html").alias("article"))
-        .groupBy("url")
-        .agg(F.max_by("article", "page_id").alias("article"))
-    )
+def strip_blanks(c: Column | str) -> Column:
+    """Text without white space of any kind around it."""
+    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
+
+
+def page_texts(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(url, article) of the wanted URLs: one may have been stored many times, the newest page
+    counts.  It is found by number, so only winners are parsed and no text is sorted.
+    """
+    asked = pages.withColumn("url", strip_blanks("url")).join(wanted, "url", "left_semi")
+    newest = asked.groupBy("url").agg(F.max("page_id").alias("page_id"))
+    return asked.join(newest, ["url", "page_id"]).select("url", page_body("html").alias("article"))
 
 
 def lookup(hits: DataFrame, pages: DataFrame) -> DataFrame:
-    """Attach the page text to each hit by trimmed URL; hits without a page are dropped.
+    """Attach the page text to each hit by URL, blanks around either URL not counting; hits
+    without a page are dropped.  ``page_id`` is unique.
 
-    Hits that fit (measured) are broadcast, so only their pages are parsed and shuffled.  Beyond
-    that, pages are reduced to one text per wanted URL on the key of the join, and a URL shared
-    by many hits is handled by its weight.
+    Hits that fit (measured) are broadcast, so only their pages are shuffled.  Beyond that, pages
+    are reduced to the wanted URLs on the key of the join, and a URL shared by many hits is handled
+    by its weight.
     """
-    hits = as_table(hits.withColumn("url", F.trim("url")), "hits")
+    hits = as_table(hits.withColumn("url", strip_blanks("url")), "hits")
     if fits_broadcast(hits):
         wanted = F.broadcast(hits.select("url"))
-        texts = page_texts(pages.join(wanted, "url", "left_semi"))
+        texts = page_texts(pages, wanted)
         return texts.join(F.broadcast(hits), "url")
     asked = hits.groupBy("url").agg(F.count("*").alias("_n"))
-    texts = as_table(page_texts(pages).join(asked, "url"), "texts")
+    texts = as_table(page_texts(pages, asked.select("url")).join(asked, "url"), "texts")
     return join_by_weight(hits, texts, "url", "_n").drop("_n")
 
 

@@ -497,7 +497,7 @@ def stream_tfidf(spark: SparkSession, folder: str) -> DataFrame:
             docs, path, checkpoint(spark), per_batch=lambda b: model.transform(b, "smooth", l2=True)
         )
     )
-    return rounded(sinks.read_table(spark, path, WEIGHTS).drop(sinks.BATCH))
+    return rounded(sinks.read_table(spark, path, WEIGHTS).drop(sinks.QUERY, sinks.BATCH))
 
 
 @query
@@ -588,7 +588,7 @@ def ml_random_forest(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ml_sentiment(spark: SparkSession, folder: str) -> DataFrame:
-    weights, bias = models.fit_linear_weights(labelled_articles(spark, folder), buckets=1 << 12)
+    weights, bias = models.fit_linear_weights(labelled_articles(spark, folder))
     scorer = sentiment.linear_scorer(weights, bias)
     scored = sentiment.with_sentiment(tables.articles(spark, folder), scorer)
     return scored.select("doc_id", "title", "sentiments")
@@ -596,9 +596,7 @@ def ml_sentiment(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ml_linear_score(spark: SparkSession, folder: str) -> DataFrame:
-    model = models.linear_score_model(
-        labelled_articles(spark, folder), "quality", features=1 << 13, max_iter=10
-    )
+    model = models.linear_score_model(labelled_articles(spark, folder), "quality")
     return model.transform(tables.articles(spark, folder)).select("doc_id", "sentiment_score")
 
 
@@ -609,15 +607,13 @@ def ml_embedding_head(spark: SparkSession, folder: str) -> DataFrame:
     )
     rows = models.as_vector(rows)
     width = rows.select(F.size("embedding")).first()[0]
-    head = models.embedding_head(rows, width, max_iter=30)
+    head = models.embedding_head(rows, width)
     return head.transform(rows).select("vec_id", "label", F.col("prediction").cast("int"))
 
 
 def saved_classifier(spark: SparkSession, folder: str) -> models.PipelineModel:
     path = scratch_path(spark, "model")
-    models.save_model(
-        models.text_classifier(1 << 12).fit(labelled_articles(spark, folder)), path
-    )
+    models.save_model(models.text_classifier().fit(labelled_articles(spark, folder)), path)
     return models.load_model(path)
 
 

@@ -1,7 +1,8 @@
 """Streaming sinks.  Each takes a checkpoint folder, from which a restarted query goes on.
 
 Batches may be replayed after a failure.  File sinks drop replays by their own log; the table
-sinks replace the folder of the batch, so a replay leaves one copy.
+sinks replace the folder of the query's batch, so a replay leaves one copy, and queries with
+checkpoints of their own add to the same table.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..sources.messages import encode
 
 BATCH = "batch_id"
+QUERY = "query_id"
 
 
 def run_bounded(writer: DataStreamWriter, timeout: float | None = None) -> None:
@@ -66,21 +68,26 @@ def to_table(
     mode: str = "append",
     per_batch: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> DataStreamWriter:
-    """Table with one folder per batch.
+    """Table with one folder per query (as its checkpoint knows it) and batch.
 
     ``per_batch`` is applied to each batch as a bounded frame, for operators a stream itself does
     not allow, such as TF-IDF weights scaled per document.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        per_batch(batch).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            raise RuntimeError("a table sink needs the id of its streaming query")
+        folder = f"{path}/{QUERY}={query}/{BATCH}={batch_id}"
+        per_batch(batch).write.mode("overwrite").parquet(folder)
 
     return _per_batch(df, write, checkpoint, mode)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType(), True)])
-    return spark.read.schema(full).parquet(path)
+    """Rows of the table, with the query and the batch that stored them."""
+    placed = [T.StructField(QUERY, T.StringType(), True), T.StructField(BATCH, T.LongType(), True)]
+    return spark.read.schema(T.StructType([*schema.fields, *placed])).parquet(path)
 
 
 def to_preview_table(
@@ -116,8 +123,9 @@ def to_running_counts(
 
 
 def latest_counts(spark: SparkSession, path: str, key: str = "ticker") -> DataFrame:
-    """Counts only grow, so the largest stored one is the latest."""
+    """Within a query counts only grow, so the largest stored one is its latest; queries add up."""
     schema = T.StructType(
         [T.StructField(key, T.StringType(), True), T.StructField("count", T.LongType(), True)]
     )
-    return read_table(spark, path, schema).groupBy(key).agg(F.max("count").alias("count"))
+    latest = read_table(spark, path, schema).groupBy(key, QUERY).agg(F.max("count").alias("count"))
+    return latest.groupBy(key).agg(F.sum("count").alias("count"))
