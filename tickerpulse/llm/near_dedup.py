@@ -5,8 +5,9 @@
 2. Equal sets form a class; its smallest ``doc_id`` stands for it from here on.
 3. Bands of minima are bucket keys.  Every class is compared with the smallest class of its
    buckets (first the likeliest of these, then all not yet connected with it).  Buckets whose
-   members are then still in several components give their pairs across components.  So no link
-   depends on luck within a bucket, and no bucket emits pairs that are connected already.
+   members are then still in several components give their pairs across components, less those
+   that an exact bound rules out (the shingles a text shares with any other in such buckets).  So no
+   link depends on luck within a bucket, and no bucket emits pairs that are connected already.
 4. A candidate must pass the sizes' bound and the signatures' estimate (with a margin of more than
    five standard deviations), then the exact comparison of the full sets.
 5. Links become components by alternating large-star and small-star.
@@ -247,6 +248,48 @@ def _with_component(df: DataFrame, node: str, name: str, components: DataFrame)
     return df.join(roots, node, "left").withColumn(name, F.coalesce("_root", node)).drop("_root")
 
 
+def _with_shared(mixed: DataFrame, bodies: DataFrame, width: int, percent: int) -> DataFrame:
+    """``mixed`` with ``shared``: how many shingles a class has in common with any other of them.
+
+    Two classes have at most the lesser of these in common, which rules out most pairs exactly: a
+    copy with many words of its own is far from every other copy.  Classes that cannot reach the
+    similarity with any other are left out.
+    """
+
+    def shingles(batches):
+        hashes = worker_store("word-hashes", _WordHashes)
+        for batch in batches:
+            sets = [shingle_set(t, width, hashes) for t in batch.column("text").to_pylist()]
+            reps = np.array(batch.column("rep"), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)),
+                    pa.array(np.repeat(reps, [len(s) for s in sets])),
+                ],
+                names=["shingle", "rep"],
+            )
+
+    texts = bodies.join(as_table(mixed.select("rep").distinct(), "mixed-reps"), "rep")
+    # An id that stands before several rows has no single set to count.
+    several = bodies.groupBy("rep").count().filter("count > 1").select("rep")
+    own = (
+        texts.select("rep", "text")
+        .mapInArrow(shingles, "shingle bigint, rep bigint")
+        .groupBy("shingle")
+        .agg(F.count("*").alias("classes"), F.min("rep").alias("rep"))
+        .filter("classes = 1")
+        .groupBy("rep")
+        .agg(F.count("*").alias("own"))
+        .join(several, "rep", "left_anti")
+    )
+    return (
+        mixed.join(as_table(own, "own-shingles"), "rep", "left")
+        .withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0)))
+        .drop("own")
+        .filter(f"100 * shared >= {percent} * n")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -278,7 +321,6 @@ def near_duplicates(
         classes.join(involved, "rep").select("rep", "sig").distinct(), "signatures"
     )
     bodies = as_table(texts, "texts")
-    size_bound = f"100 * least(n, m) >= {percent} * greatest(n, m)"
     least = percent / 100 - SIGNATURE_MARGIN
 
     def check(pairs: DataFrame) -> DataFrame:
@@ -310,16 +352,26 @@ def near_duplicates(
         "open",
     )
     mixed = as_table(placed.join(open_keys, "key"), "mixed")
+    mixed = as_table(_with_shared(mixed, bodies, width, percent), "mixed-shared")
     rest = (
-        mixed.select("key", F.col("rep").alias("a"), "n", F.col("root").alias("ra"))
+        mixed.select(
+            "key", F.col("rep").alias("a"), "n", F.col("shared").alias("sa"), F.col("root").alias("ra")
+        )
         .join(
             mixed.filter("rep != hub").select(
-                "key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("root").alias("rb")
+                "key",
+                F.col("rep").alias("b"),
+                F.col("n").alias("m"),
+                F.col("shared").alias("sb"),
+                F.col("root").alias("rb"),
             ),
             "key",
         )
         # Pairs with the hub have been compared.
-        .filter(f"a < b AND ra != rb AND {size_bound}")
+        .filter(
+            f"a < b AND ra != rb "
+            f"AND 100 * least(sa, sb) >= {percent} * (n + m - least(sa, sb))"
+        )
         .select("a", "b")
         .distinct()
     )
