@@ -129,11 +129,25 @@ def write_archives(
     pages: DataFrame, path: str, least: int = LEAST_BYTES, archive_bytes: int = ARCHIVE_BYTES
 ) -> None:
     """Write one record per row of ``pages`` (``page_id, url, html``) into archives at ``path``."""
+    # Ids are chosen first, so that only the chosen pages' texts leave their tasks.
+    chosen = as_table(
+        pages.filter("html IS NOT NULL AND page_id IS NOT NULL")
+        .select(F.col("page_id").cast("long").alias("page_id"))
+        .distinct()
+        .orderBy(F.xxhash64("page_id"), "page_id")
+        .limit(SAMPLE_PAGES),
+        "warc-sample",
+    )
     sample = (
-        pages.filter("html IS NOT NULL")
-        .select("page_id", F.substring("html", 1, SAMPLE_BYTES).alias("html"))
-        .orderBy(F.xxhash64("page_id"), "page_id", "html")
-        .limit(SAMPLE_PAGES)
+        pages.select(
+            F.col("page_id").cast("long").alias("page_id"),
+            F.substring(F.col("html").cast("string"), 1, SAMPLE_BYTES).alias("html"),
+        )
+        .filter("html IS NOT NULL")
+        .join(F.broadcast(chosen), "page_id")
+        .groupBy("page_id")
+        .agg(F.min("html").alias("html"))
+        .orderBy("page_id")
         .collect()
     )
     dictionary = train_dictionary(
