@@ -6,8 +6,9 @@
 3. Bands of minima are bucket keys.  Every class is compared with the smallest class of its
    buckets (first the likeliest of these, then all not yet connected with it).  Buckets whose
    members are then still in several components give their pairs across components, less those
-   that an exact bound rules out (the shingles a text shares with any other in such buckets).  So no
-   link depends on luck within a bucket, and no bucket emits pairs that are connected already.
+   that exact bounds rule out inside the join (the shingles a text shares with any other in such
+   buckets; the bits in which the bitmaps of two sets differ).  So no link depends on luck within
+   a bucket, and no bucket emits pairs that are connected already.
 4. A candidate must pass the sizes' bound and the signatures' estimate (with a margin of more than
    five standard deviations), then the exact comparison of the full sets.
 5. Links become components by alternating large-star and small-star.
@@ -34,6 +35,8 @@ ROWS = 5
 SEED = 20_240_601
 # Signatures estimate the similarity with a standard deviation of at most 0.036 (200 minima).
 SIGNATURE_MARGIN = 0.2
+# 64-bit words of a class's bitmap; longer sets fill it, which only weakens its bound.
+BITMAP = 32
 
 _UPPER = bytes(range(65, 91))
 _LOWER_TABLE = bytes.maketrans(_UPPER, _UPPER.lower())
@@ -248,18 +251,22 @@ def _with_component(df: DataFrame, node: str, name: str, components: DataFrame)
     return df.join(roots, node, "left").withColumn(name, F.coalesce("_root", node)).drop("_root")
 
 
-def _with_shared(mixed: DataFrame, bodies: DataFrame, width: int, percent: int) -> DataFrame:
-    """``mixed`` with ``shared``: how many shingles a class has in common with any other of them.
+def _bounds(mixed: DataFrame, bodies: DataFrame, width: int) -> DataFrame:
+    """``rep, own, w0, w1, ...``: what rules out most pairs of these classes exactly.
 
-    Two classes have at most the lesser of these in common, which rules out most pairs exactly: a
-    copy with many words of its own is far from every other copy.  Classes that cannot reach the
-    similarity with any other are left out.
+    ``own`` counts the shingles that no other of the classes has: none of them can be in common.
+    The words ``w*`` are a bitmap of the set.  A shingle sets one bit, so at least as many shingles
+    are in only one of two sets as bits differ between their bitmaps.
     """
+    words = [f"w{i}" for i in range(BITMAP)]
 
-    def shingles(batches):
+    def sets_of(batch):
         hashes = worker_store("word-hashes", _WordHashes)
+        return [shingle_set(t, width, hashes) for t in batch.column("text").to_pylist()]
+
+    def shingles(batches):
         for batch in batches:
-            sets = [shingle_set(t, width, hashes) for t in batch.column("text").to_pylist()]
+            sets = sets_of(batch)
             reps = np.array(batch.column("rep"), dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -269,25 +276,36 @@ def _with_shared(mixed: DataFrame, bodies: DataFrame, width: int, percent: int)
                 names=["shingle", "rep"],
             )
 
-    texts = bodies.join(as_table(mixed.select("rep").distinct(), "mixed-reps"), "rep")
+    def bitmaps(batches):
+        for batch in batches:
+            bits = np.zeros((batch.num_rows, 64 * BITMAP), dtype=np.uint8)
+            for row, s in zip(bits, sets_of(batch), strict=True):
+                row[(_mix(s) >> np.uint64(32)) % np.uint64(64 * BITMAP)] = 1
+            packed = np.packbits(bits, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep"), *[pa.array(packed[:, i].copy()) for i in range(BITMAP)]],
+                names=["rep", *words],
+            )
+
     # An id that stands before several rows has no single set to count.
     several = bodies.groupBy("rep").count().filter("count > 1").select("rep")
+    texts = as_table(
+        bodies.join(as_table(mixed.select("rep").distinct(), "mixed-reps"), "rep")
+        .join(several, "rep", "left_anti")
+        .select("rep", "text"),
+        "mixed-texts",
+    )
+    every = bodies.join(mixed.select("rep").distinct(), "rep").select("rep", "text")
     own = (
-        texts.select("rep", "text")
-        .mapInArrow(shingles, "shingle bigint, rep bigint")
+        every.mapInArrow(shingles, "shingle bigint, rep bigint")
         .groupBy("shingle")
         .agg(F.count("*").alias("classes"), F.min("rep").alias("rep"))
         .filter("classes = 1")
         .groupBy("rep")
         .agg(F.count("*").alias("own"))
-        .join(several, "rep", "left_anti")
-    )
-    return (
-        mixed.join(as_table(own, "own-shingles"), "rep", "left")
-        .withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0)))
-        .drop("own")
-        .filter(f"100 * shared >= {percent} * n")
     )
+    maps = texts.mapInArrow(bitmaps, ", ".join(f"{c} bigint" for c in ["rep", *words]))
+    return maps.join(own, "rep", "left")
 
 
 def near_duplicates(
@@ -352,26 +370,28 @@ def near_duplicates(
         "open",
     )
     mixed = as_table(placed.join(open_keys, "key"), "mixed")
-    mixed = as_table(_with_shared(mixed, bodies, width, percent), "mixed-shared")
-    rest = (
+    bounds = as_table(_bounds(mixed, bodies, width), "bounds")
+    mixed = (
+        mixed.join(bounds, "rep", "left")
+        .withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0)))
+        .filter(f"100 * shared >= {percent} * n")
+    )
+    words = [f"w{i}" for i in range(BITMAP)]
+    one, two = (
         mixed.select(
-            "key", F.col("rep").alias("a"), "n", F.col("shared").alias("sa"), F.col("root").alias("ra")
-        )
-        .join(
-            mixed.filter("rep != hub").select(
-                "key",
-                F.col("rep").alias("b"),
-                F.col("n").alias("m"),
-                F.col("shared").alias("sb"),
-                F.col("root").alias("rb"),
-            ),
             "key",
+            F.col("rep").alias(rep),
+            *[F.col(c).alias(f"{c}_{rep}") for c in ["n", "shared", "root", "hub", *words]],
         )
+        for rep in ("a", "b")
+    )
+    differ = " + ".join(f"bit_count({w}_a ^ {w}_b)" for w in words)
+    rest = (
+        one.join(two.filter("b != hub_b"), "key")
         # Pairs with the hub have been compared.
-        .filter(
-            f"a < b AND ra != rb "
-            f"AND 100 * least(sa, sb) >= {percent} * (n + m - least(sa, sb))"
-        )
+        .filter("a < b AND root_a != root_b")
+        .filter(f"least(shared_a, shared_b) * {100 + percent} >= {percent} * (n_a + n_b)")
+        .filter(f"coalesce({differ}, 0) * {100 + percent} <= {100 - percent} * (n_a + n_b)")
         .select("a", "b")
         .distinct()
     )
