@@ -4,11 +4,11 @@
    set's size and fingerprint, and the minima of many universal hashes.
 2. Equal sets form a class; its smallest ``doc_id`` stands for it from here on.
 3. Bands of minima are bucket keys.  Every class is compared with the smallest class of its
-   buckets (first the likeliest of these, then all not yet connected with it).  Buckets whose
-   members are then still in several components give their pairs across components, less those
-   that exact bounds rule out inside the join (the shingles a text shares with any other in such
-   buckets; the bits in which the bitmaps of two sets differ).  So no link depends on luck within
-   a bucket, and no bucket emits pairs that are connected already.
+   buckets (first the likeliest of these, then all not yet connected with it).  In buckets whose
+   members are then still in several components, those outside the largest of these meet the
+   others; exact bounds rule out most of these pairs inside the join (the shingles a text shares
+   with any other in such buckets; the bits in which the bitmaps of two sets differ).  So no link
+   depends on luck within a bucket, and no bucket emits pairs that are connected already.
 4. A candidate must pass the sizes' bound and the signatures' estimate (with a margin of more than
    five standard deviations), then the exact comparison of the full sets.
 5. Links become components by alternating large-star and small-star.
@@ -362,14 +362,19 @@ def near_duplicates(
     linked = connected_components(linked.unionByName(check(across(star.select("a", "b")))))
 
     placed = as_table(_with_component(members, "rep", "root", linked), "placed")
+    # A bucket's main component is the one with most members: of two members in different
+    # components at least one is not in the main one.  So only these others meet all members.
     open_keys = as_table(
-        placed.groupBy("key")
-        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        .filter("lo != hi")
-        .select("key"),
+        placed.groupBy("key", "root")
+        .agg(F.count("*").alias("members"))
+        .groupBy("key")
+        .agg(F.count("*").alias("roots"), F.max(F.struct("members", "root")).alias("most"))
+        .filter("roots > 1")
+        .select("key", F.col("most.root").alias("main")),
         "open",
     )
-    mixed = as_table(placed.join(open_keys, "key"), "mixed")
+    # Pairs with the hub have been compared.
+    mixed = as_table(placed.filter("rep != hub").join(open_keys, "key"), "mixed")
     bounds = as_table(_bounds(mixed, bodies, width), "bounds")
     mixed = (
         mixed.join(bounds, "rep", "left")
@@ -381,18 +386,18 @@ def near_duplicates(
         mixed.select(
             "key",
             F.col("rep").alias(rep),
-            *[F.col(c).alias(f"{c}_{rep}") for c in ["n", "shared", "root", "hub", *words]],
+            *[F.col(c).alias(f"{c}_{rep}") for c in ["n", "shared", "root", "main", *words]],
         )
         for rep in ("a", "b")
     )
     differ = " + ".join(f"bit_count({w}_a ^ {w}_b)" for w in words)
     rest = (
-        one.join(two.filter("b != hub_b"), "key")
-        # Pairs with the hub have been compared.
-        .filter("a < b AND root_a != root_b")
+        one.filter("root_a != main_a")
+        .join(two, "key")
+        .filter("root_a != root_b AND (root_b = main_b OR a < b)")
         .filter(f"least(shared_a, shared_b) * {100 + percent} >= {percent} * (n_a + n_b)")
         .filter(f"coalesce({differ}, 0) * {100 + percent} <= {100 - percent} * (n_a + n_b)")
-        .select("a", "b")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
     done = star.select("a", "b")
