@@ -208,9 +208,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, width: int, percent: int) -> D
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = as_table(
-        both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "large-star"
-    )
+    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
     return (
         both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     )
@@ -218,7 +216,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = as_table(down.groupBy("a").agg(F.min("b").alias("m")), "small-star")
+    least = down.groupBy("a").agg(F.min("b").alias("m"))
     joined = down.join(least, "a")
     moved = joined.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
