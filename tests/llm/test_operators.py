@@ -1,5 +1,6 @@
 import hashlib
 import math
+import re
 
 import duckdb
 import numpy as np
@@ -392,6 +393,60 @@ def test_license_suppression():
     assert len(licenses.rules()) > 200
 
 
+def instances(pattern):
+    """Lines that a rule's pattern matches: every branch, each optional part left out and taken."""
+    ends = pattern.pattern.decode().removeprefix("(?<= )").removesuffix("(?= )")
+
+    def of(parts):
+        out = [""]
+        for op, value in parts:
+            op = str(op)
+            if op == "LITERAL":
+                more = [chr(value)]
+            elif op == "NOT_LITERAL":
+                more = ["x"]
+            elif op == "IN":
+                kind, first = value[0]
+                more = [chr(first if str(kind) == "LITERAL" else first[0])]
+            elif op == "BRANCH":
+                more = [x for branch in value[1] for x in of(branch)]
+            elif op == "SUBPATTERN":
+                more = of(value[3])
+            else:
+                assert op == "MAX_REPEAT"
+                low, high, inner = value
+                more = [x * n for x in of(inner) for n in {low, max(1, low) if high > low else low}]
+            out = [a + b for a in out for b in dict.fromkeys(more)]
+        return out
+
+    return [f" {x} ".encode() for x in of(re._parser.parse(ends))]
+
+
+def test_every_license_rule_passes_its_gate():
+    gated, rules = licenses.by_keyword(), licenses.rules()
+    assert len(rules) == 742
+    for rule in rules:
+        for line in instances(rule.pattern):
+            assert rule.pattern.search(line) and rule.keyword in line, (rule, line)
+            found = licenses.detections(line, gated)
+            assert (1, len(line) - 1, rule.label) in [(a, b, r.label) for a, b, r in found]
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("licensed under the Berkeley Software Distribution License", {"bsd"}),
+        ("Creative Commons Attribution ShareAlike 4.0", {"cc-by-sa"}),
+        ("Creative Commons Attribution-Share Alike", {"cc-by-sa"}),
+        ("under the terms of the Expat License", {"mit"}),
+        ("ASL 2.0", {"apache"}),
+    ],
+)
+def test_license_names_without_their_family_word(text, want):
+    line, _ = licenses.line_of(text)
+    assert {r.label for *_, r in licenses.detections(line, licenses.by_keyword())} == want
+
+
 def check_counts(rows, got):
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     want = [(i, *brute.quality_counts(t)) for i, t in rows]

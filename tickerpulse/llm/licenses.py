@@ -28,11 +28,15 @@ BASE = {
     "all rights reserved": "reserved",
 }
 
-# Fixed values: (label, keyword, names of the license as words, versions).
+# Fixed values: (label, keyword that every name holds, names of the license as words, versions).
 FAMILIES = [
-    ("mit", "mit", ["mit license", "mit licence", "mit x11 license", "expat license"], []),
-    ("apache", "apache", ["apache license", "apache software license", "asl"], ["1 0", "1 1", "2 0"]),
-    ("bsd", "bsd", ["bsd license", "bsd style license", "berkeley software distribution license"],
+    ("mit", "mit", ["mit license", "mit licence", "mit x11 license"], []),
+    ("mit", "expat", ["expat license"], []),
+    ("apache", "apache", ["apache license", "apache software license"], ["1 0", "1 1", "2 0"]),
+    ("apache", "asl", ["asl"], ["1 0", "1 1", "2 0"]),
+    ("bsd", "bsd", ["bsd license", "bsd style license"],
+     ["2 clause", "3 clause", "4 clause", "simplified", "new"]),
+    ("bsd", "berkeley", ["berkeley software distribution license"],
      ["2 clause", "3 clause", "4 clause", "simplified", "new"]),
     ("gpl", "general public", ["gnu general public license", "general public license"],
      ["1", "1 0", "2", "2 0", "3", "3 0"]),
@@ -49,7 +53,8 @@ FAMILIES = [
     ("cc-by", "cc by", ["cc by"], ["2 0", "2 5", "3 0", "4 0"]),
     ("cc-by", "creative commons", ["creative commons attribution license",
      "creative commons attribution"], ["2 0", "2 5", "3 0", "4 0"]),
-    ("cc-by-sa", "sa", ["cc by sa", "creative commons attribution sharealike",
+    ("cc-by-sa", "sa", ["cc by sa"], ["2 0", "2 5", "3 0", "4 0"]),
+    ("cc-by-sa", "creative commons", ["creative commons attribution sharealike",
      "creative commons attribution share alike"], ["2 0", "2 5", "3 0", "4 0"]),
     ("cc-by-nc", "nc", ["cc by nc", "cc by nc sa", "cc by nc nd"], ["2 0", "3 0", "4 0"]),
     ("cc0", "cc0", ["cc0", "cc0 public domain dedication"], ["1 0"]),
