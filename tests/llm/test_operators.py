@@ -483,6 +483,41 @@ def test_quality_fences_against_exact_quantiles(spark):
     assert fence == pytest.approx(middle + max(6.0, 6 * (upper - middle)), abs=0.05)
 
 
+def capitals_text(i, rate):
+    """Twenty words of ten letters; a share of all letters are capitals."""
+    words = [f"{chr(97 + (i + k) % 26)}bcdefghij" for k in range(20)]
+    letters = "".join(words)
+    letters = letters[: round(200 * rate)].upper() + letters[round(200 * rate) :]
+    return " ".join(letters[k : k + 10] for k in range(0, 200, 10))
+
+
+def test_quality_fences_follow_the_spread(spark):
+    """Two sources with one median of capitals: the wide one's fence lies further out."""
+    steps = {"narrow": 0.005, "wide": 0.02}
+    rows = [
+        (1000 * n + i, capitals_text(i, 0.2 + step * (i % 21 - 10)), "en", source)
+        for n, (source, step) in enumerate(steps.items())
+        for i in range(420)
+    ]
+    rows += [(9000 + n, capitals_text(3, 0.5), "en", source) for n, source in enumerate(steps)]
+    lines = [f"unique{k:04d}" for k in range(24)]
+    rows += [(9100, "\n".join(lines), "en", "narrow")]
+    lines[::2] = ["abcdefghij"] * 12
+    rows += [(9101, "\n".join(lines), "en", "narrow")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    measured = quality.measures(docs)
+    fences = {r["_s"]: r["capital_rate_high"] for r in quality.thresholds(measured).collect()}
+    for source in steps:
+        own = measured.filter(F.col("source") == source).collect()
+        values = sorted(r["capital_rate"] for r in own)
+        middle, upper = (values[round(q * len(values)) - 1] for q in (0.5, 0.9))
+        assert fences[source] == pytest.approx(middle + 4 * (upper - middle), rel=0.15)
+    assert fences["wide"] - 0.2 > 2 * (fences["narrow"] - 0.2)
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(docs).collect()}
+    assert not kept[9000] and kept[9001]
+    assert kept[9100] and not kept[9101]
+
+
 # --- top-k --------------------------------------------------------------------------------------
 
 

@@ -3,9 +3,11 @@
 Every text gives a few measures.  For each (lang, source) a mergeable quantile sketch (KLL) of
 every measure is built next to the data and merged across tasks; sketches of small groups are
 merged on to their language and to the whole corpus.  A measure's fence lies at the median plus a
-multiple of the upper quartile's distance from it, and never closer than a floor.  Texts are
-then judged by a join with their group's fences.  Groups with a large share of all rows are no
-problem: sketches have a fixed size, and the join can be split.
+multiple of the 90 % quantile's distance from it (from below, of the 10 % quantile's).  A floor
+keeps the fence off the median where that spread is zero, as it is while fewer than a tenth of a
+group's texts show the measure at all.  Texts are then judged by a join with their group's fences.
+A group with more than a tenth of junk widens its own fences.  Groups with a large share of all
+rows are no problem: sketches have a fixed size, and the join can be split.
 
 Fixed rules come first: a text fails with fewer than 10 words or with more than 20 % of its
 words in repeated five-word windows.
@@ -32,19 +34,21 @@ MAX_REPEAT_PERCENT = 20
 GROUP_ROWS = 200
 #: Size parameter of the sketches: rank errors below 1 %.
 SKETCH_K = 400
-#: Distance of a fence from the median, in distances of the quartile.
-SPREAD = 6.0
-#: Measures with the least distance of their fence from the median.
+#: The quantile that shows a group's spread; from below, its mirror image.
+UPPER = 0.9
+#: Distance of a fence from the median, in distances of that quantile.
+SPREAD = 4.0
+#: Measures with the least distance of their fence from the median, for groups without spread.
 FLOORS = {
-    "symbol_rate": 0.25,
-    "dup_line_rate": 0.5,
-    "repeat_rate": 0.25,
-    "capital_rate": 0.3,
-    "mark_rate": 0.5,
+    "symbol_rate": 0.1,
+    "dup_line_rate": 0.2,
+    "repeat_rate": 0.05,
+    "capital_rate": 0.03,
+    "mark_rate": 0.1,
     "word_length": 6.0,
 }
 #: Measures that are also fenced from below.
-TWO_SIDED = {"word_length": 2.5}
+TWO_SIDED = {"word_length": 1.0}
 
 _SPACE = b" \t\n\v\f\r"
 _SYMBOLS = b"#*$%&|<>"
@@ -149,10 +153,10 @@ def _fences(sketched: DataFrame, prefix: str, *keys: str) -> DataFrame:
     out = []
     for c, floor in FLOORS.items():
         middle = quantile(c, 0.5)
-        high = middle + F.greatest(F.lit(floor), SPREAD * (quantile(c, 0.75) - middle))
+        high = middle + F.greatest(F.lit(floor), SPREAD * (quantile(c, UPPER) - middle))
         out.append(high.alias(f"{prefix}{c}_high"))
         if c in TWO_SIDED:
-            near = F.greatest(F.lit(TWO_SIDED[c]), SPREAD * (middle - quantile(c, 0.25)))
+            near = F.greatest(F.lit(TWO_SIDED[c]), SPREAD * (middle - quantile(c, 1 - UPPER)))
             out.append((middle - near).alias(f"{prefix}{c}_low"))
     return sketched.select(*keys, F.col("n").alias(f"{prefix}n"), *out)
 
