@@ -307,6 +307,34 @@ def test_toxicity_odd_rows(spark, odd, empty, labels):
     assert toxicity.score(empty, labels).collect() == []
 
 
+def test_toxicity_lexicon_survives_copies(spark):
+    insults = "idiot trash moron clown scum".split()
+    rows = [
+        (i, " ".join(f"{w} w{i}x{k} n{(7 * i + k) % 50} {w}" for k, w in enumerate(insults)), 1)
+        for i in range(20)
+    ]
+    rows += [(100 + i, " ".join(f"w{i}x{k} n{k % 50}" for k in range(30)), 0) for i in range(60)]
+    copied = rows[0][1] + " and you are all of that again " + " ".join(f"c{k}" for k in range(60))
+    copies = [(1000 + i, copied, 1) for i in range(100)]
+    near = [(2000 + i, f"{copied} e{i}", 1) for i in range(100)]
+    schema = "doc_id long, text string, label int"
+    want = {w.encode() for w in insults}
+    for extra in ([], copies, copies + near):
+        lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows + extra, schema))
+        assert want <= set(lexicon) and b"c5" not in lexicon
+
+
+def test_toxicity_lexicon_in_many_texts(spark):
+    """An insult that stands after the same few hundred words thousands of times stays."""
+    rows = [
+        (i, " ".join(f"n{(31 * i + k) % 40} idiot u{i}x{k}" for k in range(12)), 1)
+        for i in range(60)
+    ]
+    rows += [(100 + i, " ".join(f"n{k % 40} u{i}x{k}" for k in range(30)), 0) for i in range(60)]
+    schema = "doc_id long, text string, label int"
+    assert b"idiot" in toxicity.learn_lexicon(spark.createDataFrame(rows, schema))
+
+
 def test_toxicity_features():
     lexicon, second = {b"idiot": 2.0}, frozenset([b"you"])
     row = dict(

@@ -4,8 +4,8 @@ The model is fitted on at most ``sample`` labelled training rows (those with the
 their id).  Rows whose crc32(doc_id as text) mod 4 is 2 are held out and never used.  From the
 sample come
 
-- the lexicon: words far more frequent in toxic texts, and that in varied company (copies of one
-  toxic text show a word next to the same neighbour every time, an insult appears anywhere);
+- the lexicon: words far more frequent in toxic texts, and that after enough different words (an
+  insult appears anywhere).  Equal and near-equal texts of a class count once;
 - the trees (Spark ML), on three quarters of the sample;
 - the calibration, on the last quarter.
 
@@ -33,12 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import as_table
+from . import near_dedup
 from .common import id_and_text
 
 #: Labelled training rows that are used at most.
 SAMPLE = 20_000
 #: Words of the lexicon at most.
 LEXICON = 2_000
+#: Different words that a word of the lexicon follows; fewer in small samples.
+CONTEXTS = 20
 THRESHOLD = 0.3
 NEAR = 5
 
@@ -157,8 +160,46 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     return as_table(rows, "toxic-training")
 
 
+def _first_of_its_kind(profiles: list) -> list[int]:
+    """Ids of the texts whose signature agrees in 80 % with no text before it in a shared band."""
+    out, seen = [], {}
+    for row in sorted(profiles, key=lambda r: r["doc_id"]):
+        if row["sig"] is None:
+            out.append(row["doc_id"])
+            continue
+        sig = np.frombuffer(row["sig"], dtype=np.uint8).reshape(near_dedup.BANDS * near_dedup.ROWS, -1)
+        bands = sig.reshape(near_dedup.BANDS, -1)
+        keys = [(k, band.tobytes()) for k, band in enumerate(bands)]
+        others = {id(x): x for x in (seen.get(key) for key in keys) if x is not None}
+        if any((x == sig).all(axis=1).mean() >= 0.8 for x in others.values()):
+            continue
+        out.append(row["doc_id"])
+        for key in keys:
+            seen.setdefault(key, sig)
+    return out
+
+
+def distinct_texts(training: DataFrame) -> DataFrame:
+    """``text, label``: of equal and near-equal texts of a class one, stored."""
+    hashed = training.select(F.xxhash64("text").alias("doc_id"), "text", "label")
+    single = as_table(hashed.dropDuplicates(["doc_id", "label"]), "toxic-single")
+    # A clean text with an insult put in is no copy of it, so each class is reduced by itself.
+    # The driver gets one signature for each row of the bounded sample.
+    chosen = [
+        (i, x)
+        for x in (0, 1)
+        for i in _first_of_its_kind(
+            near_dedup.profiles(single.filter(F.col("label") == x), 5).collect()
+        )
+    ]
+    ids = training.sparkSession.createDataFrame(chosen, "doc_id long, label int")
+    kept = single.join(F.broadcast(ids), ["doc_id", "label"])
+    return as_table(kept.select("text", "label"), "toxic-distinct")
+
+
 def learn_lexicon(training: DataFrame, limit: int = LEXICON) -> dict[bytes, float]:
     """Weights (log odds) of the words that mark toxic texts."""
+    training = distinct_texts(training)
     toxic, total = training.agg(F.sum("label"), F.count("*")).first()
     clean = total - (toxic or 0)
     if not toxic or not clean:
@@ -203,8 +244,9 @@ def learn_lexicon(training: DataFrame, limit: int = LEXICON) -> dict[bytes, floa
             for text in batch.column("text").to_pylist():
                 words = words_of(text)
                 for i, w in enumerate(words):
-                    if w in candidates:
-                        found.append((w, words[i - 1] if i else b""))
+                    before = words[i - 1] if i else b""
+                    if w in candidates and w != before:
+                        found.append((w, before))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)],
                 names=["word", "before"],
@@ -214,11 +256,10 @@ def learn_lexicon(training: DataFrame, limit: int = LEXICON) -> dict[bytes, floa
         training.filter("label = 1")
         .select("text")
         .mapInArrow(neighbours, "word binary, before binary")
-        .groupBy("word", "before")
-        .count()
+        .distinct()
         .groupBy("word")
-        .agg(F.count("*").alias("kinds"), F.sum("count").alias("places"))
-        .filter((F.col("kinds") >= 0.4 * F.col("places")) & (F.col("kinds") >= support))
+        .agg(F.count("*").alias("kinds"))
+        .filter(F.col("kinds") >= min(support, CONTEXTS))
         .collect()
     )
     return {bytes(r["word"]): candidates[bytes(r["word"])] for r in varied}
