@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tickerpulse.functions import scores, stem, text
 from tickerpulse.operators import articles
+from tickerpulse.sources import pages
 
 
 @pytest.mark.parametrize(
@@ -42,6 +43,19 @@ def test_white_space_around_urls(spark):
     assert sorted((r["rank"], r["article"]) for r in got.collect()) == [(1, "new"), (2, "x")]
 
 
+def test_every_article_element_and_reference(spark):
+    html = (
+        "<title>Caf&eacute; &mdash; don&#8217;t</title><article>a &amp;lt; b &#x1F600;&#128;</article>"
+        "<p>between</p><article>c&nbsp;d &copy 2 &notit; &bogus; &#0; &#99999999999999999999; A&B</article>"
+    )
+    pages_ = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    got = pages.extract_pages(pages_).first()
+    assert got["title"] == "Caf\u00e9 \u2014 don\u2019t"
+    assert got["article"] == (
+        "a &lt; b \U0001f600\u20ac c d \u00a9 2 \u00acit; &bogus; \ufffd \ufffd A&B"
+    )
+
+
 def test_page_lookup_sorts_no_text(spark):
     pages = spark.range(5).select(
         F.col("id").alias("page_id"), F.lit("u").alias("url"), F.lit("<p>").alias("html")

@@ -2,22 +2,72 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# HTML entities that occur in running text; the ampersand comes last.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+# Names of the HTML standard with their characters; a few also count without the semicolon.
+_SHORT_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
+_SHORT = f"^(?:{'|'.join(_SHORT_NAMES)})"
+_NAMED = "^[A-Za-z][A-Za-z0-9]*;"
+_DECIMAL = "^#([0-9]+);?"
+_HEX = "^#[xX]([0-9a-fA-F]+);?"
+_LOST = "\ufffd"
 
 TITLE = "(?is)<title[^>]*>(.*?)</title>"
 BODY = "(?is)<article[^>]*>.*?</article>"
 LANGUAGE = '(?i)<html[^>]* lang="([a-z]+)'
 
 
+def _table(pairs: dict[str, str]) -> Column:
+    """A constant map; the optimizer builds it once."""
+    text = "\x01".join(f"{k}\x02{v}" for k, v in pairs.items())
+    return F.str_to_map(F.lit(text), F.lit("\x01"), F.lit("\x02"))
+
+
+def _character(number: Column) -> Column:
+    """The character of a numeric reference; 128 to 159 are read as Windows-1252."""
+    old = {str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}
+    point = number.try_cast("long")
+    lost = point.isNull() | (point == 0) | (point > 0x10FFFF) | point.between(0xD800, 0xDFFF)
+    wide = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+    known = F.when(point.between(128, 159), F.element_at(_table(old), point.cast("string")))
+    return F.when(lost, _LOST).otherwise(F.coalesce(known, wide))
+
+
+def _decode_reference(piece: Column) -> Column:
+    """``piece`` is what follows an ampersand."""
+    decimal, hexa = F.regexp_extract(piece, _DECIMAL, 0), F.regexp_extract(piece, _HEX, 0)
+    named, short = F.regexp_extract(piece, _NAMED, 0), F.regexp_extract(piece, _SHORT, 0)
+    names = _table(html5)
+    found = [
+        (decimal, F.when(decimal != "", _character(F.regexp_extract(piece, _DECIMAL, 1)))),
+        (hexa, F.when(hexa != "", _character(F.conv(F.regexp_extract(piece, _HEX, 1), 16, 10)))),
+        (named, F.element_at(names, named)),
+        (short, F.element_at(names, short)),
+    ]
+    # A hard blank becomes a plain one.
+    return F.coalesce(
+        *(
+            F.concat(F.replace(char, F.lit("\xa0"), F.lit(" ")), F.substr(piece, F.length(ref) + 1))
+            for ref, char in found
+        ),
+        F.concat(F.lit("&"), piece),
+    )
+
+
+def decode_entities(text: Column) -> Column:
+    """Named and numeric references decoded, each once."""
+    pieces = F.split(text, "&")
+    rest = F.transform(F.slice(pieces, 2, F.size(pieces)), _decode_reference)
+    decoded = F.concat(F.element_at(pieces, 1), F.concat_ws("", rest))
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+
 def plain_text(html: Column) -> Column:
     """Tags out, entities decoded, white space squeezed."""
-    text = F.regexp_replace(html, "<[^>]*>", " ")
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
+    text = decode_entities(F.regexp_replace(html, "<[^>]*>", " "))
     return F.trim(F.regexp_replace(text, r"[ \t\n\f\r]+", " "))
 
 
@@ -26,9 +76,9 @@ def page_title(html: Column | str) -> Column:
 
 
 def page_body(html: Column | str) -> Column:
-    """Text of the article element; null where the page has none, so the fetch counts as failed."""
-    element = F.regexp_extract(html, BODY, 0)
-    return F.when(element != "", plain_text(element))
+    """Text of all article elements; null where the page has none, so the fetch counts as failed."""
+    elements = F.regexp_extract_all(html, F.lit(BODY), F.lit(0))
+    return F.when(F.size(elements) > 0, plain_text(F.concat_ws(" ", elements)))
 
 
 def page_language(html: Column | str) -> Column:
