@@ -77,3 +77,18 @@ def test_streamed_predictions_equal_batch(spark, small):
     batch = {r["doc_id"]: r["class"] for r in q.ml_model_roundtrip(spark, small).collect()}
     stream = {r["doc_id"]: r["class"] for r in q.stream_predictions(spark, small).collect()}
     assert batch == stream and len(batch) == tables.documents(spark, small).count()
+
+
+def test_forest_query_runs_the_default_size(spark, small, monkeypatch):
+    from tickerpulse.plans import queries
+
+    class Asked(Exception):
+        pass
+
+    def seen(*sizes, **named):
+        raise Asked(sizes, named)
+
+    monkeypatch.setattr(queries.models, "bigram_forest", seen)
+    with pytest.raises(Asked) as asked:
+        queries.ml_random_forest(spark, small)
+    assert asked.value.args == ((), {})

@@ -580,7 +580,7 @@ def ml_random_forest(spark: SparkSession, folder: str) -> DataFrame:
     train, test = headlines.train_and_test_texts(
         tables.headlines(spark, folder), "doc_id", "Label"
     )
-    forest = models.bigram_forest(trees=10, depth=5, features=1 << 12).fit(train)
+    forest = models.bigram_forest().fit(train)
     return forest.transform(test).select(
         "doc_id", F.col("Label").alias("label"), F.col("prediction").cast("int")
     )
