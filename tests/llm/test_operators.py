@@ -284,6 +284,14 @@ def test_packing_empty_and_documents(spark, odd, empty, small):
     assert total == sum(len(brute.SPACE.findall(t)) + 1 for _, t in documents(small))
 
 
+def test_long_passage_in_two_lines_stays(spark):
+    """The stated limit of the three-line window."""
+    passage = " ".join(f"a{k}" for k in range(40)) + "\n" + " ".join(f"b{k}" for k in range(40))
+    rows = [(i, f"first {i}\n{passage}\nlast {i}") for i in range(2)]
+    got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_removed"] for r in got.collect()} == {0: 0, 1: 0}
+
+
 # --- toxicity -----------------------------------------------------------------------------------
 
 
