@@ -48,3 +48,42 @@ def join_by_weight(
     head = facts.join(F.broadcast(hot), key)
     tail = facts.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return head.unionByName(tail)
+
+
+# Bits of the bitmap that ``narrowed`` broadcasts: 32 MB at most.
+FILTER_BITS = 1 << 28
+
+
+def narrowed(facts: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """``facts`` without most of the rows that ``keys`` (a stored table) has no match for.
+
+    Meant to go before a join of wide rows with few keys, so that rows without a match are not
+    shuffled.  The hashes of the keys become a bitmap of 16 bits per key, never more than
+    ``FILTER_BITS``, which is broadcast.  Rows that are dropped have no match for certain; others may
+    be left, the more the fuller the bitmap, so the join must follow.  Nulls count as values.
+    """
+    bits = 1 << 15
+    wanted = 16 * keys.count()
+    while bits < min(wanted, FILTER_BITS):
+        bits *= 2
+
+    def place(df: DataFrame):
+        # Bitmap functions count from 1.
+        return F.pmod(F.xxhash64(*[df[c] for c in on]), F.lit(bits)) + 1
+
+    maps = (
+        keys.select(place(keys).alias("_place"))
+        .groupBy(F.bitmap_bucket_number("_place").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
+    )
+    names = facts.columns
+    placed = facts.select(F.struct("*").alias("_row"), place(facts).alias("_place"))
+    position = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("_bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    is_set = F.getbit(byte.cast("long"), (position % 8).cast("int")) == 1
+    return (
+        placed.withColumn("_bucket", F.bitmap_bucket_number("_place"))
+        .join(F.broadcast(maps), "_bucket")
+        .filter(is_set)
+        .select(*[F.col("_row")[c].alias(c) for c in names])
+    )
