@@ -14,7 +14,8 @@
    inverted lists of differences finds every other link: the short lists are heap-merged, lists
    that cannot reach the number are skipped ahead by binary search, and the long lists are probed
    by binary search for the candidates only.  What is found is an exact overlap.
-5. Groups are cut into slices of bounded size.  A search visits the slices that hold a class with
+5. Large groups are cut into bands of similar sizes, as linked sets are, and these into slices of
+   bounded size.  A search visits the slices of its own and the next bands that hold a class with
    which it shares a list; each slice gives a spanning forest of the links, not all of them.
 6. Links become components by alternating large-star and small-star.
 
@@ -189,8 +190,8 @@ def inverted_lists(found: DataFrame, classes: DataFrame, percent: int) -> DataFr
     )
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``cls, shingles`` (binary) of the classes in ``wanted`` (``cls, rep``)."""
+def hub_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """``hub, cls, shingles`` (binary) for every pair (hub, cls) and for (hub, hub)."""
 
     def run(batches):
         import xxhash
@@ -206,15 +207,22 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 names=["cls", "shingles"],
             )
 
-    reps = as_table(wanted.select(F.col("rep").alias("doc_id")).distinct(), "wanted-ids")
-    texts = narrowed(id_and_text(docs), reps, ["doc_id"]).join(reps, "doc_id")
-    found = texts.mapInArrow(run, "cls bigint, shingles binary")
-    # A repeated id brings other texts along, and may bring a class twice.
-    return found.join(wanted.select("cls"), "cls").dropDuplicates(["cls"])
+    hubs = pairs.select("hub", F.col("hub").alias("cls")).distinct()
+    wanted = as_table(pairs.select("hub", "cls").unionByName(hubs), "wanted-classes")
+    reps = as_table(
+        classes.join(wanted.select("cls").distinct(), "cls").select(F.col("rep").alias("doc_id")),
+        "wanted-ids",
+    )
+    # The filter leaves a few other texts, and a repeated id brings some along; their classes go in
+    # the join, after which a class may still be there twice.
+    sets = narrowed(id_and_text(docs), reps, ["doc_id"]).mapInArrow(
+        run, "cls bigint, shingles binary"
+    )
+    return sets.join(wanted, "cls").dropDuplicates(["hub", "cls"])
 
 
-def hub_differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``hub, cls, n, n_diff, linked, diff`` for every pair (hub, cls)."""
+def hub_differences(sets: DataFrame, percent: int) -> DataFrame:
+    """``hub, cls, n, n_diff, linked, diff`` for every pair (hub, cls) of ``hub_sets``."""
     less, more = 100 - percent, 100 + percent
 
     def run(batches):
@@ -245,11 +253,10 @@ def hub_differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFram
                 names=["hub", "cls", "n", "n_diff", "linked", "diff"],
             )
 
-    own = sets.select("cls", F.col("shingles").alias("own_set"))
-    hubs = sets.select(F.col("cls").alias("hub"), F.col("shingles").alias("hub_set"))
+    own = sets.filter("cls != hub").select("hub", "cls", F.col("shingles").alias("own_set"))
+    hubs = sets.filter("cls = hub").select("hub", F.col("shingles").alias("hub_set"))
     return (
-        pairs.join(own, "cls")
-        .join(hubs, "hub")
+        own.join(hubs, "hub")
         .select("hub", "cls", "hub_set", "own_set")
         .mapInArrow(
             run, "hub bigint, cls bigint, n bigint, n_diff bigint, linked boolean, diff binary"
@@ -288,15 +295,15 @@ def merge_skip(owners: list[int], spans: list[tuple[int, int]], least: int) -> I
 class DifferenceIndex:
     """Inverted lists of the differences of a slice, for searches in the same groups."""
 
-    def __init__(self, hubs, classes, sizes, diffs, linked, percent: int):
+    def __init__(self, groups, hubs, classes, sizes, diffs, linked, percent: int):
         self.less, self.more = 100 - percent, 100 + percent
         self.classes = classes
-        self.row = {key: i for i, key in enumerate(zip(hubs, classes, strict=True))}
+        self.row = {key: i for i, key in enumerate(zip(groups, classes, strict=True))}
         self.weight = [self._weight(len(d), n) for d, n in zip(diffs, sizes, strict=True)]
         self.least_weight: dict[int, int] = {}
-        for hub, w in zip(hubs, self.weight, strict=True):
-            self.least_weight[hub] = min(w, self.least_weight.get(hub, w))
-        tokens = np.concatenate([_in_group(d, h) for d, h in zip(diffs, hubs, strict=True)])
+        for group, w in zip(groups, self.weight, strict=True):
+            self.least_weight[group] = min(w, self.least_weight.get(group, w))
+        tokens = np.concatenate([_in_group(d, g) for d, g in zip(diffs, groups, strict=True)])
         owner = np.repeat(np.arange(len(diffs)), [len(d) for d in diffs])
         order = np.argsort(tokens, kind="stable")
         self.tokens, starts = np.unique(tokens[order], return_index=True)
@@ -322,13 +329,13 @@ class DifferenceIndex:
         self.leader[a] = b
         return a != b
 
-    def linked_rows(self, hub: int, cls: int, n: int, diff: np.ndarray) -> Iterator[int]:
+    def linked_rows(self, group: int, cls: int, n: int, diff: np.ndarray) -> Iterator[int]:
         """Rows of the index that are linked with the class and not connected with it before."""
         weight = self._weight(len(diff), n)
         # Twice ``more`` times the overlap must reach the sum of both weights.
-        least = max(1, -(-(weight + self.least_weight[hub]) // (2 * self.more)))
-        own = self.row.get((hub, cls), -1)
-        tokens = _in_group(diff, hub)
+        least = max(1, -(-(weight + self.least_weight[group]) // (2 * self.more)))
+        own = self.row.get((group, cls), -1)
+        tokens = _in_group(diff, group)
         place = np.searchsorted(self.tokens, tokens)
         place[place == len(self.tokens)] = 0
         place = place[self.tokens[place] == tokens]
@@ -359,26 +366,29 @@ class DifferenceIndex:
                 yield row
 
 
-def _in_group(diff: np.ndarray, hub: int) -> np.ndarray:
+def _in_group(diff: np.ndarray, group: int) -> np.ndarray:
     """The shingles as those of one group, so that groups share an index but no list."""
-    return _mix(diff + np.uint64(hub & (2**64 - 1)))
+    return _mix(diff + np.uint64(group & (2**64 - 1)))
 
 
 def _search(percent: int):
     """Links of one slice as a spanning forest: (a, b)."""
 
-    def columns(table: pa.Table):
-        out = [table.column(c).to_pylist() for c in ("hub", "cls", "n")]
-        diffs = [np.frombuffer(d.as_py(), dtype=np.uint64) for d in table.column("diff")]
-        return [*out, diffs, table.column("linked").to_pylist()]
-
-    def run(index: pa.Table, searches: pa.Table) -> pa.Table:
+    def run(rows: pa.Table) -> pa.Table:
         found: list[tuple[int, int]] = []
+
+        def columns(part: pa.Table, *names: str):
+            diffs = [np.frombuffer(d.as_py(), dtype=np.uint64) for d in part.column("diff")]
+            return [*[part.column(c).to_pylist() for c in names], diffs]
+
+        index = rows.filter(rows.column("stands"))
+        searches = rows.filter(rows.column("searches"))
         if index.num_rows and searches.num_rows:
-            slice_ = DifferenceIndex(*columns(index), percent)
-            for hub, cls, n, diff, _ in zip(*columns(searches), strict=True):
-                if hub in slice_.least_weight:
-                    for row in slice_.linked_rows(hub, cls, n, diff):
+            *keys, diffs = columns(index, "group", "hub", "cls", "n")
+            slice_ = DifferenceIndex(*keys, diffs, index.column("linked").to_pylist(), percent)
+            for group, cls, n, diff in zip(*columns(searches, "group", "cls", "n"), strict=True):
+                if group in slice_.least_weight:
+                    for row in slice_.linked_rows(group, cls, n, diff):
                         if slice_.join((cls,), (slice_.classes[row],)):
                             found.append((cls, slice_.classes[row]))
         return pa.table(
@@ -393,62 +403,82 @@ def group_links(members: DataFrame, lists: DataFrame, percent: int) -> DataFrame
 
     ``members`` is the stored table of ``hub_differences``, ``lists`` that of (token, hub, cls).
     """
-    groups = as_table(
-        members.groupBy("hub")
+    facts = members.select("hub", "cls", "n", "n_diff", "linked")
+    open_groups = (
+        facts.groupBy("hub")
         .agg(
             F.sum("n_diff").alias("size"),
             F.count("*").alias("n_members"),
             F.max((~F.col("linked")).cast("int")).alias("open"),
         )
         .filter("n_members > 1 AND open = 1")
-        .select("hub", F.ceil(F.col("size") / SLICE).cast("int").alias("slices"), "size"),
-        "groups",
+        .select("hub", "size")
+    )
+    # Sizes of linked sets differ by a factor of 100 / percent at most, so a group that is too
+    # large for one slice is cut by size first; a search visits the bands beside its own.
+    band = F.when(
+        F.col("size") > SLICE, F.floor(F.log("n") / log(100 / percent))
+    ).otherwise(0).cast("int")
+    placed = as_table(facts.join(open_groups, "hub").withColumn("band", band), "group-members")
+    slices = placed.groupBy("hub", "band").agg(
+        F.sum("n_diff").alias("in_band"), F.ceil(F.sum("n_diff") / SLICE).cast("int").alias("slices")
     )
-    total = groups.agg(F.sum("size")).first()[0]
+    total = placed.agg(F.sum("n_diff")).first()[0]
     if not total:
         return members.selectExpr("hub AS a", "cls AS b").limit(0)
     n_blocks = 2 * (total // SLICE) + 8
-    slice_of = F.pmod(F.xxhash64("cls"), F.greatest("slices", F.lit(1))).cast("int")
-    placed = members.join(groups.drop("size"), "hub").withColumn("slice", slice_of)
-    places = as_table(placed.select("hub", "cls", "linked", "slices", "slice"), "group-places")
-    # A search visits the slices where another class stands in one of its lists.
-    held = lists.join(places, ["hub", "cls"])
-    present = held.filter("slices > 1").select("token", "hub", "slice").distinct()
+    places = as_table(
+        placed.join(slices, ["hub", "band"]).withColumn(
+            "slice", F.pmod(F.xxhash64("cls"), F.greatest("slices", F.lit(1))).cast("int")
+        ),
+        "group-places",
+    )
+    large = F.col("size") > SLICE
+    # In a group of several slices a search visits those where another class stands in a list of
+    # its own.
+    held = lists.join(places.filter(large).drop("n", "in_band"), ["hub", "cls"])
+    present = held.select("token", "hub", "band", "slice").distinct()
     routed = (
-        held.filter("slices > 1 AND NOT linked")
-        .select("token", "hub", "cls")
-        .join(present, ["token", "hub"])
-        .select("hub", "cls", "slice")
-        .unionByName(places.filter("slices <= 1 AND NOT linked").select("hub", "cls", "slice"))
+        held.filter("NOT linked")
+        .select("token", "hub", "cls", "n_diff", F.explode(F.expr("sequence(band - 1, band + 1)")).alias("band"))
+        .join(present, ["token", "hub", "band"])
+        .select("hub", "cls", "n_diff", "band", "slice")
+        .unionByName(
+            places.filter(~large & ~F.col("linked")).select("hub", "cls", "n_diff", "band", "slice")
+        )
         .distinct()
     )
-    block = F.pmod(F.xxhash64("hub", "slice"), F.lit(n_blocks))
+    group = F.xxhash64("hub", "band", "slice")
+    block = F.pmod(F.col("group"), F.lit(n_blocks))
     visits = as_table(
-        routed.join(members.select("hub", "cls", "n_diff"), ["hub", "cls"]).withColumn("block", block),
-        "visits",
+        routed.select("hub", "cls", "n_diff", group.alias("group")).withColumn("block", block), "visits"
     )
-    parts = (
-        visits.groupBy("block")
-        .agg(F.ceil(F.sum("n_diff") / SLICE).cast("int").alias("parts"))
-        .withColumn("parts", F.greatest("parts", F.lit(1)))
-    )
-    columns = ["block", "part", "hub", "cls", "n", "linked", "diff"]
-    searches = (
-        visits.join(parts, "block")
-        .withColumn("part", F.pmod(F.xxhash64("cls", F.lit(7)), F.col("parts")).cast("int"))
-        .join(members.select("hub", "cls", "n", "linked", "diff"), ["hub", "cls"])
-        # New names for Spark, as both sides of the cogroup come from one table.
-        .select(*[F.col(c).alias(c) for c in columns])
+    parts = as_table(
+        visits.groupBy("block").agg(
+            F.greatest(F.ceil(F.sum("n_diff") / SLICE), F.lit(1)).cast("int").alias("parts")
+        ),
+        "parts",
     )
-    index = (
-        placed.withColumn("block", block)
-        .join(parts, "block")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select(*columns)
+    own_part = F.pmod(F.xxhash64("cls", F.lit(7)), F.col("parts")).cast("int")
+    searches = visits.join(parts, "block").select(
+        "hub", "cls", "group", "block", own_part.alias("part"),
+        F.lit(False).alias("stands"), F.lit(True).alias("searches"),
+    )
+    stands = places.select("hub", "cls", group.alias("group")).withColumn("block", block).join(
+        parts, "block"
+    ).select(
+        "hub", "cls", "group", "block", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"),
+        F.lit(True).alias("stands"), F.lit(False).alias("searches"),
+    )
+    roles = (
+        searches.unionByName(stands)
+        .groupBy("hub", "cls", "group", "block", "part")
+        .agg(F.bool_or("stands").alias("stands"), F.bool_or("searches").alias("searches"))
     )
     return (
-        index.groupBy("block", "part")
-        .cogroup(searches.groupBy("block", "part"))
+        members.select("hub", "cls", "n", "linked", "diff")
+        .join(roles, ["hub", "cls"])
+        .groupBy("block", "part")
         .applyInArrow(_search(percent), "a bigint, b bigint")
     )
 
@@ -472,10 +502,8 @@ def jaccard_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[D
     )
     lists = as_table(lists.join(hubs, "token").filter("cls != hub"), "hub-lists")
     pairs = as_table(lists.select("hub", "cls").distinct(), "hub-pairs")
-    involved = pairs.select("cls").union(pairs.select("hub")).distinct()
-    wanted = as_table(classes.join(involved, "cls").select("cls", "rep"), "wanted-classes")
-    sets = as_table(full_sets(docs, wanted, width), "sets")
-    members = as_table(hub_differences(pairs, sets, percent), "members")
+    sets = as_table(hub_sets(docs, classes, pairs, width), "hub-sets")
+    members = as_table(hub_differences(sets, percent), "members")
     links = members.filter("linked").select(F.col("hub").alias("a"), F.col("cls").alias("b"))
     return found, as_table(links.unionByName(group_links(members, lists, percent)), "class-links")
 
