@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tickerpulse.workspace import as_table
 from tickerpulse.functions import text
 from tickerpulse.operators import articles as art
 from tickerpulse.operators import evaluate, features, headlines, joins
@@ -42,6 +43,36 @@ def test_join_by_weight_keeps_hot_rows_in_place(spark):
     assert "LeftAnti" in plan and "Union" in plan
 
 
+def test_split_join_makes_its_facts_once(spark):
+    made = spark.sparkContext.accumulator(0)
+    schema = "id long, k string"
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    facts = skewed(spark).mapInArrow(count, schema)
+    dim = skewed(spark).groupBy("k").agg(F.count("*").alias("n"))
+    assert join_by_weight(facts, dim, "k", "n", rows=10, hot_rows=10).count() == 900
+    assert made.value == 900
+
+
+def test_marked_never_loses_a_match(spark):
+    facts = spark.range(3000).select(
+        F.when(F.col("id") % 7 != 0, F.col("id")).alias("id"), F.lit("x").alias("_row")
+    )
+    keys = as_table(spark.sql("SELECT id * 50 AS id FROM range(40) UNION ALL SELECT NULL"), "keys")
+    marked = joins.marked(facts, keys, ["id"], "mark")
+    assert marked.columns == ["id", "_row", "mark"] and marked.count() == 3000
+    found = marked.filter("mark")
+    assert found.join(keys, "id").count() == facts.join(keys, "id").count()
+    assert found.filter("id IS NULL").count() == facts.filter("id IS NULL").count()
+    assert found.count() < 1000
+    nothing = as_table(keys.limit(0), "keys")
+    assert joins.narrowed(facts, nothing, ["id"]).count() == 0
+
+
 def test_join_by_weight_drops_unknown_keys(spark):
     facts = spark.createDataFrame([(1, "a"), (2, "a"), (3, "no")], "id int, k string")
     dim = spark.createDataFrame([("a", 2)], "k string, n long")
@@ -151,6 +182,21 @@ def test_stemmed_counts(spark):
     ]
 
 
+def test_weights_over_stems(spark):
+    """Words of one stem count together, in documents and in document frequencies."""
+    docs = spark.createDataFrame(
+        [(1, ["cats", "cat", "cats", "dog"]), (2, ["cat"]), (3, None)], "doc_id long, tokens array<string>"
+    )
+    model, counts = features.stemmed_idf(docs, "tokens")
+    assert rows(counts) == [(1, "cat", 3), (1, "dog", 1), (2, "cat", 1)]
+    got = {r[:2]: r[2] for r in map(tuple, model.weigh(counts, "log1p").collect())}
+    assert abs(got[1, "cat"] - 3 * math.log(1 + 3 / 3)) < 1e-12
+    assert abs(got[1, "dog"] - math.log(1 + 3 / 2)) < 1e-12
+    other = spark.createDataFrame([(9, ["catting", "bird", "cats"])], "doc_id long, tokens array<string>")
+    weighed = model.weigh(features.stem_freq(other, "tokens"), "log1p").collect()
+    assert [(r["doc_id"], r["term"]) for r in weighed] == [(9, "cat")]
+
+
 def test_label_index_orders_by_frequency_then_name(spark):
     labels = ["b", "a", "c", "c", None]
     df = spark.createDataFrame(list(enumerate(labels)), "id long, label string")

@@ -69,16 +69,33 @@ class IdfModel:
     tokens: str
 
     def transform(
-        self, docs: DataFrame, formula: str = "smooth", l2: bool = False, doc: str = "doc_id"
+        self,
+        docs: DataFrame,
+        formula: str = "smooth",
+        l2: bool = False,
+        doc: str = "doc_id",
+        **limits: int,
     ) -> DataFrame:
         """(doc, term, weight) with weight = tf * idf; terms the corpus lacks are left out.
 
-        ``l2`` scales each document to length 1, which takes one shuffle by document.
+        ``l2`` scales each document to length 1, which takes one shuffle by document.  ``limits``
+        are those of ``join_by_weight``.
         """
+        return self.weigh(term_freq(docs, self.tokens, doc), formula, l2, doc, **limits)
+
+    def weigh(
+        self,
+        counts: DataFrame,
+        formula: str = "smooth",
+        l2: bool = False,
+        doc: str = "doc_id",
+        **limits: int,
+    ) -> DataFrame:
+        """``transform`` for counts (doc, term, tf)."""
         weight = F.col("tf").cast("double") * IDF_FORMULAS[formula](
             F.lit(float(self.n_docs)), F.col("df").cast("double")
         )
-        weighted = join_by_weight(term_freq(docs, self.tokens, doc), self.table, "term", "df").select(
+        weighted = join_by_weight(counts, self.table, "term", "df", **limits).select(
             doc, "term", weight.alias("weight")
         )
         if not l2:
@@ -92,6 +109,12 @@ def fit_idf(docs: DataFrame, tokens: str) -> IdfModel:
     return IdfModel(as_table(doc_freq(docs, tokens), "doc-freq"), docs.count(), tokens)
 
 
+def fit_idf_on_counts(counts: DataFrame, n_docs: int, tokens: str = "tokens") -> IdfModel:
+    """The model of a corpus whose terms have been counted: one row of (doc, term) each."""
+    frequency = counts.groupBy("term").agg(F.count("*").alias("df"))
+    return IdfModel(as_table(frequency, "doc-freq"), n_docs, tokens)
+
+
 def bag_of_terms(train: DataFrame, other: DataFrame, tokens: str, doc: str = "doc_id") -> DataFrame:
     """Counts of ``other`` over the vocabulary of ``train``: (doc, term_index, tf).
 
@@ -123,6 +146,28 @@ def stemmed_counts(docs: DataFrame, tokens: str, doc: str = "doc_id") -> DataFra
     )
 
 
+def stem_freq(docs: DataFrame, tokens: str, doc: str = "doc_id") -> DataFrame:
+    """(doc, term, tf) where terms are stems: words of one stem count together.
+
+    Only a word's stem and a count travel, so the shuffle by document and stem is narrow.
+    """
+    return (
+        stemmed_counts(docs, tokens, doc)
+        .groupBy(doc, F.col("stem").alias("term"))
+        .agg(F.sum("tf").alias("tf"))
+    )
+
+
+def stemmed_idf(docs: DataFrame, tokens: str, doc: str = "doc_id") -> tuple[IdfModel, DataFrame]:
+    """The model over the stems of a corpus, and the stored counts it was fitted on.
+
+    ``model.weigh(counts, ...)`` gives the corpus's own weights, ``model.weigh(stem_freq(...), ...)``
+    those of other documents.  Every distinct word is stemmed once.
+    """
+    counts = as_table(stem_freq(docs, tokens, doc), "stem-counts")
+    return fit_idf_on_counts(counts, docs.count(), tokens), counts
+
+
 def label_index(rows: DataFrame, label: str) -> DataFrame:
     """Add the index of a label: most frequent first, then alphabetical; null labels are dropped.
 

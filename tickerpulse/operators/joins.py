@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..workspace import as_table
 
 # Limits for the broadcast side, checked before it is used.
 BROADCAST_ROWS = 500_000
@@ -16,7 +19,14 @@ def fits_broadcast(
     df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
 ) -> bool:
     """Measure rows and text size of ``df``.  Meant for a stored table: this runs a job."""
-    width = F.octet_length(F.to_json(F.struct("*")))
+    width = F.lit(0)
+    for field in df.schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width += F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width += F.octet_length(F.to_json(F.struct(field.name)))
+        else:
+            width += 8
     n, total = df.agg(F.count("*"), F.sum(width.cast("bigint"))).first()
     return n <= rows and (total or 0) <= size
 
@@ -35,8 +45,9 @@ def join_by_weight(
     A small ``dim`` (measured) is broadcast.  Otherwise: the weights sum to the number of fact
     rows, so fewer than ``hot_rows`` keys can hold more than a ``1/hot_rows`` share each.  Those
     are broadcast and their rows stay where they are; only rows of rarer keys are shuffled, and
-    none of these keys is heavy.  Should even the heavy keys be too wide, both sides are
-    shuffled and AQE splits the skewed partitions.
+    none of these keys is heavy.  What makes the facts runs once: they are stored before they are
+    split.  Should even the heavy keys be too wide, both sides are shuffled and AQE splits the skewed
+    partitions.
     """
     if fits_broadcast(dim, rows):
         return facts.join(F.broadcast(dim), key)
@@ -45,6 +56,7 @@ def join_by_weight(
     hot, cold = dim.filter(is_hot), dim.filter(~is_hot)
     if not fits_broadcast(hot, hot_rows):
         return facts.join(dim, key)
+    facts = as_table(facts, "facts")
     head = facts.join(F.broadcast(hot), key)
     tail = facts.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return head.unionByName(tail)
@@ -54,13 +66,12 @@ def join_by_weight(
 FILTER_BITS = 1 << 28
 
 
-def narrowed(facts: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """``facts`` without most of the rows that ``keys`` (a stored table) has no match for.
+def marked(facts: DataFrame, keys: DataFrame, on: list[str], mark: str) -> DataFrame:
+    """``facts`` with a column ``mark``: false where ``keys`` (a stored table) has no match for certain.
 
-    Meant to go before a join of wide rows with few keys, so that rows without a match are not
-    shuffled.  The hashes of the keys become a bitmap of 16 bits per key, never more than
-    ``FILTER_BITS``, which is broadcast.  Rows that are dropped have no match for certain; others may
-    be left, the more the fuller the bitmap, so the join must follow.  Nulls count as values.
+    The hashes of the keys become a bitmap of 16 bits per key, never more than ``FILTER_BITS``, which
+    is broadcast.  Few rows without a match are marked true, the more the fuller the bitmap, so a
+    join must still decide.  Nulls count as values.
     """
     bits = 1 << 15
     wanted = 16 * keys.count()
@@ -76,6 +87,7 @@ def narrowed(facts: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
         .groupBy(F.bitmap_bucket_number("_place").alias("_bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
     )
+    maps = as_table(maps, "bitmap")
     names = facts.columns
     placed = facts.select(F.struct("*").alias("_row"), place(facts).alias("_place"))
     position = F.bitmap_bit_position("_place")
@@ -83,7 +95,15 @@ def narrowed(facts: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     is_set = F.getbit(byte.cast("long"), (position % 8).cast("int")) == 1
     return (
         placed.withColumn("_bucket", F.bitmap_bucket_number("_place"))
-        .join(F.broadcast(maps), "_bucket")
-        .filter(is_set)
-        .select(*[F.col("_row")[c].alias(c) for c in names])
+        .join(F.broadcast(maps), "_bucket", "left")
+        .select(*[F.col("_row")[c].alias(c) for c in names], F.coalesce(is_set, F.lit(False)).alias(mark))
     )
+
+
+def narrowed(facts: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """``facts`` without most of the rows that ``keys`` (a stored table) has no match for.
+
+    Meant to go before a join of wide rows with few keys, so that rows without a match are not
+    shuffled.
+    """
+    return marked(facts, keys, on, "_possible").filter("_possible").drop("_possible")
