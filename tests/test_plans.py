@@ -54,10 +54,17 @@ def test_filters_reach_the_scan(spark, small):
 
 
 def test_only_wanted_pages_are_parsed(spark, small):
+    """No page's text goes through an aggregate, and a bitmap of wanted pages comes before any join
+    or shuffle of texts but the one that spreads a small table."""
     tree = plan(q.article_lookup(spark, small))
-    assert "LeftSemi" in tree and "partial_max_by" in tree
+    lines = tree.split("\n")
+    assert not any("html" in line for line in lines if "Aggregate" in line)
+    moved = [line for line in lines if "html" in line and "Exchange" in line]
+    assert all("REPARTITION" in line for line in moved)
     # In the printed tree an operator's input follows it.
-    assert tree.index("partial_max_by") < tree.index("LeftSemi")
+    bitmap = next(i for i, line in enumerate(lines) if "_bucket" in line and "Join" in line)
+    scan = next(i for i, line in enumerate(lines) if "ReadSchema" in line and "html" in line)
+    assert bitmap < scan and not any("html" in x for x in lines if "SortMergeJoin" in x)
 
 
 def test_large_tables_are_not_spread(spark, tmp_path):

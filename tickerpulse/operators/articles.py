@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.pages import page_body
+from ..sources.pages import page_body, strip_blanks
 from ..workspace import as_table
-from .joins import fits_broadcast, join_by_weight
+from .joins import fits_broadcast, join_by_weight, narrowed
 from .ordering import top_per_key
 
 # Over-fetch factor and upper bound of one search.
@@ -26,18 +26,20 @@ def valid_article(keep_empty: bool = False) -> Column:
     return found if keep_empty else found & (F.col("article") != "")
 
 
-def strip_blanks(c: Column | str) -> Column:
-    """Text without white space of any kind around it."""
-    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
-
-
 def page_texts(pages: DataFrame, wanted: DataFrame) -> DataFrame:
     """(url, article) of the wanted URLs: one may have been stored many times, the newest page
-    counts.  It is found by number, so only winners are parsed and no text is sorted.
+    counts.  ``page_id`` is unique.
+
+    The newest pages are found by number and URL alone.  Then only pages that a bitmap of their
+    numbers lets through are joined and parsed, so neither copies nor other pages are shuffled.
     """
-    asked = pages.withColumn("url", strip_blanks("url")).join(wanted, "url", "left_semi")
-    newest = asked.groupBy("url").agg(F.max("page_id").alias("page_id"))
-    return asked.join(newest, ["url", "page_id"]).select("url", page_body("html").alias("article"))
+    named = pages.select("page_id", strip_blanks("url").alias("url"))
+    newest = named.join(wanted, "url", "left_semi").groupBy("url").agg(
+        F.max("page_id").alias("page_id")
+    )
+    newest = as_table(newest, "newest-pages")
+    texts = narrowed(pages.select("page_id", "html"), newest, ["page_id"])
+    return texts.join(newest, "page_id").select("url", page_body("html").alias("article"))
 
 
 def lookup(hits: DataFrame, pages: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from html.entities import html5
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 # Names of the HTML standard with their characters; a few also count without the semicolon.
 _SHORT_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
 _SHORT = f"^(?:{'|'.join(_SHORT_NAMES)})"
@@ -15,8 +17,22 @@ _DECIMAL = "^#([0-9]+);?"
 _HEX = "^#[xX]([0-9a-fA-F]+);?"
 _LOST = "\ufffd"
 
-TITLE = "(?is)<title[^>]*>(.*?)</title>"
-BODY = "(?is)<article[^>]*>.*?</article>"
+TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
+# What a browser does not show as text: comments and the contents of these elements, closed or not.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\z)"
+# Elements around an article.
+AROUND = r"(?is)<(title|nav|footer|aside)\b[^>]*>.*?(?:</\1\s*>|\z)"
+# In front of every tag of an article element; other names may begin alike.
+ARTICLE_TAG = r"(?i)(?=</?article[\s/>])"
+# Tags that begin or end a block of text.
+BLOCK_TAG = (
+    r"(?i)</?(?:address|article|blockquote|body|br|center|dd|div|dl|dt|fieldset|figcaption|figure|"
+    r"form|h[1-6]|head|header|hr|html|li|main|ol|option|p|pre|section|select|table|tbody|td|tfoot|th|"
+    r"thead|tr|ul)\b[^>]*>"
+)
+LINK = r"(?is)<a\b[^>]*>.*?(?:</a\s*>|\z)"
+# A block counts its words outside links, less three for a word in a link, one for a tag and this.
+BLOCK_COST = 15
 LANGUAGE = '(?i)<html[^>]* lang="([a-z]+)'
 
 
@@ -59,10 +75,14 @@ def _decode_reference(piece: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Named and numeric references decoded, each once."""
-    pieces = F.split(text, "&")
-    rest = F.transform(F.slice(pieces, 2, F.size(pieces)), _decode_reference)
-    decoded = F.concat(F.element_at(pieces, 1), F.concat_ws("", rest))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+    def joined(pieces: Column) -> Column:
+        rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _decode_reference)
+        return F.concat(F.element_at(pieces, 1), F.concat_ws("", rest))
+
+    return let(
+        text, lambda t: F.when(F.contains(t, F.lit("&")), let(F.split(t, "&"), joined)).otherwise(t)
+    )
 
 
 def plain_text(html: Column) -> Column:
@@ -75,25 +95,129 @@ def page_title(html: Column | str) -> Column:
     return plain_text(F.regexp_extract(html, TITLE, 1))
 
 
-def page_body(html: Column | str) -> Column:
-    """Text of all article elements; null where the page has none, so the fetch counts as failed."""
-    elements = F.regexp_extract_all(html, F.lit(BODY), F.lit(0))
-    return F.when(F.size(elements) > 0, plain_text(F.concat_ws(" ", elements)))
+def article_html(visible: Column) -> Column:
+    """What stands inside article elements, null if there is none.
+
+    The page is cut in front of every article tag and the pieces are walked with the depth at hand:
+    articles may be nested, and one that is never closed ends with the page.
+    """
+
+    def step(state: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(r"(?i)\A<article[\s/>]"), piece.rlike(r"(?i)\A</article[\s/>]")
+        depth = F.when(opens, state["depth"] + 1).when(
+            closes, F.greatest(state["depth"] - 1, F.lit(0))
+        ).otherwise(state["depth"])
+        return let(
+            depth,
+            lambda d: F.struct(
+                d.alias("depth"),
+                (state["found"] | opens).alias("found"),
+                F.when(d > 0, F.concat(state["html"], F.lit(" "), piece)).otherwise(state["html"]).alias("html"),
+            ),
+        )
+
+    start = F.struct(
+        F.lit(0).alias("depth"), F.lit(False).alias("found"), F.lit("").alias("html")
+    )
+    return F.aggregate(
+        F.split(visible, ARTICLE_TAG), start, step, lambda end: F.when(end["found"], end["html"])
+    )
+
+
+def block_score(block: Column) -> Column:
+    """How much a block looks like running text: many words, few tags, few of them in links."""
+    words = r"[^ \t\n\f\r]+"
+
+    def count(html: Column) -> Column:
+        return F.regexp_count(F.regexp_replace(html, "<[^>]*>", " "), F.lit(words))
+
+    outside = count(F.regexp_replace(block, LINK, " "))
+    tags = F.length(block) - F.length(F.replace(block, F.lit("<"), F.lit("")))
+    score = let(
+        F.struct(outside.alias("outside"), count(block).alias("all")),
+        lambda n: F.when(n["all"] > 0, 4 * n["outside"] - 3 * n["all"] - tags - BLOCK_COST),
+    )
+    # Between neighbouring tags there is nothing to judge.
+    return F.coalesce(score, F.lit(0))
+
+
+def main_blocks(visible: Column) -> Column:
+    """The run of blocks with the largest sum of scores, null if no block has a positive one.
+
+    The first of equal runs counts, and of those that end together the shortest.
+    """
+
+    def step(state: Column, score: Column) -> Column:
+        goes_on = state["sum"] > 0
+        total = F.greatest(state["sum"], F.lit(0)) + score
+        start = F.when(goes_on, state["start"]).otherwise(state["i"])
+        better = total > state["best"]
+        return F.struct(
+            (state["i"] + 1).alias("i"),
+            total.alias("sum"),
+            start.alias("start"),
+            F.when(better, total).otherwise(state["best"]).alias("best"),
+            F.when(better, start).otherwise(state["from"]).alias("from"),
+            F.when(better, state["i"]).otherwise(state["to"]).alias("to"),
+        )
+
+    names = ("i", "sum", "start", "best", "from", "to")
+
+    def run(blocks: Column) -> Column:
+        found = F.aggregate(
+            F.transform(blocks, block_score), F.struct(*[F.lit(0).alias(n) for n in names]), step
+        )
+        return let(
+            found,
+            lambda f: F.when(
+                f["best"] > 0,
+                F.array_join(F.slice(blocks, f["from"] + 1, f["to"] - f["from"] + 1), " "),
+            ),
+        )
+
+    return let(F.split(F.regexp_replace(visible, AROUND, " "), BLOCK_TAG), run)
+
+
+def page_body(html: Column | str, fallback: bool = True) -> Column:
+    """Text of all article elements.
+
+    A page without any has the text of its main blocks, found by their density of text and links;
+    null where these show no running text either (or with ``fallback`` off), so the fetch counts as
+    failed.
+    """
+    source = F.col(html) if isinstance(html, str) else html
+
+    def body(visible: Column) -> Column:
+        article = article_html(visible)
+        return let(
+            F.coalesce(article, main_blocks(visible)) if fallback else article, plain_text
+        )
+
+    return let(F.regexp_replace(source, HIDDEN, " "), body)
 
 
 def page_language(html: Column | str) -> Column:
     return F.regexp_extract(html, LANGUAGE, 1)
 
 
+def strip_blanks(c: Column | str) -> Column:
+    """Text without white space of any kind around it."""
+    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
     return pages.select(
         "page_id",
-        F.trim("url").alias("url"),
+        strip_blanks("url").alias("url"),
         page_title("html").alias("title"),
         page_body("html").alias("article"),
     )
 
 
+def extract_titles(pages: DataFrame) -> DataFrame:
+    return pages.select("page_id", page_title("html").alias("title"))
+
+
 def hits_from_pages(pages: DataFrame, newest: str) -> DataFrame:
     """A table of search hits made from stored pages.
 
