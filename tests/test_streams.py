@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,6 +109,50 @@ def test_replayed_batch_is_stored_once(spark, topic, tmp_path):
         (check / "commits" / ".0.crc").unlink(missing_ok=True)
 
 
+def test_readers_see_whole_batches_only(spark, topic, tmp_path, monkeypatch):
+    """A batch that dies after its files, or among them, is not there; the next attempt is, once."""
+    table, check = str(tmp_path / "scores"), str(tmp_path / "c")
+
+    def run(**options):
+        stream = jobs.scaled_scores(topic.stream())
+        sinks.run_bounded(sinks.to_table(stream, table, check, **options))
+
+    topic([prediction("A", 1)])
+    run()
+    topic([prediction("B", 1), prediction("C", 1)])
+    before = rows(sinks.read_table(spark, table, SCORE))
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "_commit", lambda *args: 1 / 0)
+        with pytest.raises(Exception, match="division"):
+            run()
+    assert rows(sinks.read_table(spark, table, SCORE)) == before
+    broken = F.when(F.col("ticker") == "C", F.raise_error("dies")).otherwise(F.col("ticker"))
+    with pytest.raises(Exception, match="dies"):
+        run(per_batch=lambda batch: batch.withColumn("ticker", broken.cast("string")))
+    assert rows(sinks.read_table(spark, table, SCORE)) == before
+    run()
+    run()
+    assert [r["ticker"] for r in sinks.read_table(spark, table, SCORE).sort("ticker").collect()] == list("ABC")
+
+
+def test_two_finished_attempts_count_once(spark, topic, tmp_path):
+    topic([prediction("A", 1)])
+    table = str(tmp_path / "scores")
+    sinks.run_bounded(sinks.to_table(jobs.scaled_scores(topic.stream()), table, str(tmp_path / "c")))
+    placed = sinks._commits(spark, table).first()
+    twin = f"{table}/rows/query_id={placed['query_id']}/batch_id={placed['batch_id']}/attempt=zz"
+    spark.createDataFrame([("A", 10.0)], SCORE).write.parquet(twin)
+    sinks._commit(spark, table, placed["query_id"], placed["batch_id"], "zz")
+    assert sinks.read_table(spark, table, SCORE).count() == 1
+
+
+def test_a_table_without_batches_is_empty(spark, topic, tmp_path):
+    topic([prediction("A", 1)])
+    table = str(tmp_path / "scores")
+    sinks.to_table(jobs.scaled_scores(topic.stream()), table, str(tmp_path / "c"))
+    assert sinks.read_table(spark, table, SCORE).count() == 0
+
+
 def test_queries_with_own_checkpoints_add_to_one_table(spark, topic, tmp_path):
     topic([prediction("A", 1), prediction("B", 1)])
     table, counts = str(tmp_path / "scores"), str(tmp_path / "counts")
@@ -144,3 +189,25 @@ def test_previews(spark, topic, tmp_path, capsys):
     assert {r["title"] for r in sinks.read_table(spark, path, ARTICLE).collect()} == {"t0", "t1"}
     sinks.run_bounded(sinks.to_console(parsed, str(tmp_path / "c3"), 1))
     assert "t0" in capsys.readouterr().out
+
+
+def test_timed_stop_lets_the_running_batch_end(spark, topic, tmp_path):
+    for t in "ABC":
+        topic([prediction(t, 1)])
+    table, check = str(tmp_path / "scores"), str(tmp_path / "c")
+    begun = []
+
+    def slow(batch):
+        begun.append(1)
+        time.sleep(2)
+        return batch
+
+    def run(timeout):
+        stream = jobs.scaled_scores(topic.stream())
+        sinks.run_bounded(sinks.to_table(stream, table, check, per_batch=slow), timeout)
+
+    run(1.0)
+    stored = sinks.read_table(spark, table, SCORE).count()
+    assert 1 <= stored <= 2 and stored >= len(begun) - 1
+    run(None)
+    assert sorted(r["ticker"] for r in sinks.read_table(spark, table, SCORE).collect()) == list("ABC")

@@ -1,34 +1,59 @@
 """Streaming sinks.  Each takes a checkpoint folder, from which a restarted query goes on.
 
-Batches may be replayed after a failure.  File sinks drop replays by their own log; the table
-sinks replace the folder of the query's batch, so a replay leaves one copy, and queries with
-checkpoints of their own add to the same table.
+Batches may be replayed after a failure.  File sinks drop replays by their own log.  The table sinks
+write every attempt at a batch into a folder of its own and, once its files are there, one row that
+names the attempt.  Readers take the rows of named attempts only, one for each batch of a query, so
+they never see half a batch, and a replay that follows a finished attempt writes nothing.  Queries
+with checkpoints of their own add to the same table.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..sources.messages import encode
 
 BATCH = "batch_id"
 QUERY = "query_id"
+ATTEMPT = "attempt"
+COMMIT = f"{QUERY} string, {BATCH} bigint, {ATTEMPT} string"
 
 
-def run_bounded(writer: DataStreamWriter, timeout: float | None = None) -> None:
-    """Process what is there (at most ``timeout`` seconds), then stop.  Nothing is deleted."""
+def run_bounded(
+    writer: DataStreamWriter, timeout: float | None = None, grace: float = 600.0
+) -> None:
+    """Process what is there, then stop.  Nothing is deleted.
+
+    After ``timeout`` seconds the running batch may still end, within ``grace`` seconds, so a stop
+    does not throw its work away.  What it has stored is stored once either way.
+    """
     query = writer.trigger(availableNow=True).start()
     try:
-        query.awaitTermination(timeout)
+        if not query.awaitTermination(timeout) and timeout is not None:
+            _await_batch(query, grace)
     finally:
         query.stop()
 
 
+def _finished(query: StreamingQuery) -> int:
+    progress = query.lastProgress
+    return -1 if progress is None else progress["batchId"]
+
+
+def _await_batch(query: StreamingQuery, grace: float) -> None:
+    """Return when the batch that runs now has ended, or the query, or after ``grace`` seconds."""
+    before, end = _finished(query), time.monotonic() + grace
+    while query.isActive and _finished(query) == before and time.monotonic() < end:
+        query.awaitTermination(0.1)
+
+
 def to_parquet(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     return (
         df.writeStream.outputMode("append")
@@ -61,6 +86,23 @@ def _per_batch(
     )
 
 
+def _commits(spark: SparkSession, path: str) -> DataFrame:
+    """Finished attempts: the first by name, should two of one batch have finished."""
+    found = spark.read.schema(COMMIT).parquet(f"{path}/commits")
+    return found.groupBy(QUERY, BATCH).agg(F.min(ATTEMPT).alias(ATTEMPT))
+
+
+def _commit(spark: SparkSession, path: str, query: str, batch_id: int, attempt: str) -> None:
+    """One row in one file: it is there as a whole or not at all."""
+    row = spark.createDataFrame([(query, batch_id, attempt)], COMMIT)
+    row.coalesce(1).write.mode("append").parquet(f"{path}/commits")
+
+
+def _open_table(spark: SparkSession, path: str) -> None:
+    """The table of commits exists before its first row, so that a table without any can be read."""
+    spark.createDataFrame([], COMMIT).write.mode("append").parquet(f"{path}/commits")
+
+
 def to_table(
     df: DataFrame,
     path: str,
@@ -68,26 +110,37 @@ def to_table(
     mode: str = "append",
     per_batch: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> DataStreamWriter:
-    """Table with one folder per query (as its checkpoint knows it) and batch.
+    """Table with one folder per query (as its checkpoint knows it), batch and attempt.
 
     ``per_batch`` is applied to each batch as a bounded frame, for operators a stream itself does
     not allow, such as TF-IDF weights scaled per document.
     """
+    _open_table(df.sparkSession, path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not query:
             raise RuntimeError("a table sink needs the id of its streaming query")
-        folder = f"{path}/{QUERY}={query}/{BATCH}={batch_id}"
-        per_batch(batch).write.mode("overwrite").parquet(folder)
+        done = (F.col(QUERY) == query) & (F.col(BATCH) == batch_id)
+        if not _commits(spark, path).filter(done).isEmpty():
+            return
+        attempt = uuid.uuid4().hex
+        folder = f"{path}/rows/{QUERY}={query}/{BATCH}={batch_id}/{ATTEMPT}={attempt}"
+        per_batch(batch).write.parquet(folder)
+        _commit(spark, path, query, batch_id, attempt)
 
     return _per_batch(df, write, checkpoint, mode)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of the table, with the query and the batch that stored them."""
-    placed = [T.StructField(QUERY, T.StringType(), True), T.StructField(BATCH, T.LongType(), True)]
-    return spark.read.schema(T.StructType([*schema.fields, *placed])).parquet(path)
+    """Rows of the table's finished batches, with the query and the batch that stored them."""
+    commits = _commits(spark, path)
+    placed = T.StructType([*schema.fields, *T._parse_datatype_string(COMMIT).fields])
+    if commits.isEmpty():
+        return spark.createDataFrame([], placed).drop(ATTEMPT)
+    rows = spark.read.schema(placed).parquet(f"{path}/rows")
+    return rows.join(commits, [QUERY, BATCH, ATTEMPT], "left_semi").drop(ATTEMPT)
 
 
 def to_preview_table(
