@@ -73,6 +73,33 @@ def test_from_search_to_labels(spark, tmp_path):
     assert got == {"profit rise": "positive", "loss drop": "negative", "profit gain": "positive"}
 
 
+def test_symbol_from_article_to_counts(spark, tmp_path, capsys):
+    """The symbol of a message is still there in the scores of its sentiment."""
+    texts = [("AMZN", "profit rise"), ("AMZN", "loss drop"), ("MSFT", "profit gain"), (None, "loss fall")]
+    articles = spark.createDataFrame([("t", a, s) for s, a in texts], "title string, article string, ticker string")
+    msg.write_messages(
+        msg.to_messages(articles, articles.columns, "news"), {"path": str(tmp_path / "topic")}, "parquet"
+    )
+    run(
+        spark, "ingest", "--topic", tmp_path / "topic", "--out", tmp_path / "articles",
+        "--checkpoint", tmp_path / "c1", "--dead-letters", tmp_path / "dead",
+    )
+    rows = [("profit rise gain", 2), ("loss drop fall", 0), ("plain report", 1)] * 10
+    spark.createDataFrame(rows, "article string, class int").write.parquet(str(tmp_path / "labelled"))
+    run(spark, "train", "--labelled", tmp_path / "labelled", "--model", tmp_path / "model")
+    run(
+        spark, "label", "--articles", tmp_path / "articles", "--model", tmp_path / "model",
+        "--out", tmp_path / "out", "--predictions", tmp_path / "predictions",
+    )
+    run(spark, "scale", "--topic", tmp_path / "predictions", "--to", tmp_path / "scaled", "--checkpoint", tmp_path / "c2")
+    run(spark, "store", "--topic", tmp_path / "scaled", "--out", tmp_path / "scores", "--checkpoint", tmp_path / "c3")
+    stored = sinks.read_table(spark, str(tmp_path / "scores"), SCORE).collect()
+    assert sorted((r["ticker"], r["aggregated_score"]) for r in stored) == [
+        ("AMZN", -10.0), ("AMZN", 10.0), ("MSFT", 10.0),
+    ]
+    assert "AMZN" in capsys.readouterr().out
+
+
 def test_scale_and_store(spark, tmp_path, capsys):
     events = spark.createDataFrame([("A", 0.5), ("A", 1.0)], "ticker string, sentiment_prediction double")
     sent = msg.to_messages(events, events.columns, "p")

@@ -48,6 +48,19 @@ def test_dead_letters_complement_the_readable_rows(spark):
     assert dead[2] == "{" and dead[4] is None
 
 
+def test_reasons(spark):
+    values = ['{"title":null,"article":null}', '{"title":null}', "{}", '{"headline":"x"}', "nonsense", "7", None]
+    rows = [(i, None if v is None else v.encode()) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "id int, value binary")
+    dead = msg.dead_letters(df, keep=["id"], tolerant=True, with_reason=True)
+    assert {r["id"]: r["reason"] for r in dead.collect()} == {
+        2: "no known field", 3: "no known field", 4: "unreadable", 5: "unreadable", 6: "null message",
+    }
+    kept = msg.readable(df, keep=["id"], tolerant=True)
+    assert kept.columns == ["id", "title", "article"]
+    assert sorted(r["id"] for r in kept.collect()) == [0, 1]
+
+
 def test_encode_keeps_null_fields(spark):
     df = spark.createDataFrame([("T", None)], "title string, article string")
     assert json.loads(df.select(msg.encode(df)).first()[0]) == {"title": "T", "article": None}

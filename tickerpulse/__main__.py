@@ -3,7 +3,7 @@
     python -m tickerpulse publish --hits H --pages P --symbol AMZN --count 5 --as-of TIME --topic ...
     python -m tickerpulse ingest  --topic ... --out articles --checkpoint C
     python -m tickerpulse train   --labelled L --model M
-    python -m tickerpulse label   --articles articles --model M --out labelled
+    python -m tickerpulse label   --articles articles --model M --out labelled --predictions ...
     python -m tickerpulse scale   --topic ... --to ... --checkpoint C
     python -m tickerpulse store   --topic ... --out scores --checkpoint C
     python -m tickerpulse evaluate --headlines data.csv
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .functions.scores import class_name
 from .operators import articles as art
 from .operators import evaluate, headlines, models
-from .schemas import ARTICLE
+from .schemas import TICKER_ARTICLE
 from .session import build_session
 from .sources import messages as msg
 from .sources import pages as pg
@@ -61,16 +61,20 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Article messages to a Parquet table.
+    """Article messages, with the symbol they were found for, to a Parquet table.
 
-    Unreadable messages stay as rows of nulls, or go to a table of their own if one is named.
+    Unreadable messages stay as rows of nulls, or go with the reason to a table of their own if one
+    is named.
     """
     fmt, options = topic(args.topic, args.start)
     stream = msg.stream_topic(spark, options, fmt)
-    parsed = jobs.parsed_articles(stream, tolerant=True).select("title", "article")
+    fields = TICKER_ARTICLE.fieldNames()
+    parsed = jobs.parsed_articles(stream, tolerant=True, with_ticker=True).select(*fields)
     if args.dead_letters:
-        parsed = parsed.filter(~msg.undecodable())
-        dead = msg.dead_letters(stream, keep=["offset"], tolerant=True)
+        parsed = msg.readable(stream, TICKER_ARTICLE, tolerant=True).select(*fields)
+        dead = msg.dead_letters(
+            stream, TICKER_ARTICLE, keep=["offset"], tolerant=True, with_reason=True
+        )
         writer = sinks.to_parquet(dead, args.dead_letters, f"{args.checkpoint}/dead-letters")
         sinks.run_bounded(writer, args.timeout)
     sinks.run_bounded(
@@ -85,11 +89,22 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def label(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Add the sentiment of each article."""
-    rows = tables.read_parquet(spark, args.articles, ARTICLE)
+    """Add the sentiment of each article.
+
+    With ``--predictions`` each article with a symbol also becomes a message for ``scale``: -1, 0 or
+    1 for negative, neutral and positive.
+    """
+    rows = tables.read_parquet(spark, args.articles, TICKER_ARTICLE)
     scored = models.load_model(args.model).transform(rows)
     named = class_name(F.col("prediction").cast("int")).alias("sentiments")
-    scored.select("title", "article", named).write.parquet(args.out)
+    scored.select("title", "article", named, "ticker", "prediction").write.parquet(args.out)
+    if args.predictions:
+        stored = spark.read.schema("ticker string, prediction double").parquet(args.out)
+        value = (F.col("prediction") - 1).alias("sentiment_prediction")
+        known = stored.filter("ticker IS NOT NULL AND prediction IS NOT NULL").select("ticker", value)
+        fmt, options = target(args.predictions)
+        sent = msg.to_messages(known, known.columns, "predictions")
+        msg.write_messages(sent.select("key", "value") if fmt == "kafka" else sent, options, fmt)
 
 
 def scale(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -148,7 +163,7 @@ def parser() -> argparse.ArgumentParser:
     )
     command("ingest", ingest, "topic", "out", "checkpoint", dead_letters=(str, None), **stream)
     command("train", train, "labelled", "model")
-    command("label", label, "articles", "model", "out")
+    command("label", label, "articles", "model", "out", predictions=(str, None))
     command("scale", scale, "topic", "to", "checkpoint", **stream)
     command("store", store, "topic", "out", "checkpoint", **stream)
     command(

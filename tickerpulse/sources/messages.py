@@ -85,19 +85,56 @@ def undecodable(schema: T.StructType = ARTICLE) -> Column:
     return test
 
 
-def dead_letters(
+def reject_reason(text: Column, schema: T.StructType = ARTICLE) -> Column:
+    """Why a decoded row is no message, null where it is one; ``text`` is what was decoded.
+
+    An object with a field of the schema is a message, also if the field is null, as ``encode``
+    writes it.
+    """
+    keys = F.json_object_keys(text)
+    known = F.array(*[F.lit(f) for f in schema.fieldNames()])
+    return (
+        F.when(~undecodable(schema), None)
+        .when(text.isNull(), "null message")
+        .when(keys.isNull(), "unreadable")
+        .when(~F.arrays_overlap(keys, known), "no known field")
+    )
+
+
+def decode_with_reason(
     messages: DataFrame,
     schema: T.StructType = ARTICLE,
     keep: list[str] | None = None,
     tolerant: bool = False,
 ) -> DataFrame:
-    """Messages without any readable field, with their raw text, for a side output."""
+    """``decode`` with the raw text and the reason why a row is no message."""
     raw = messages.withColumn("raw", text_of())
-    return (
-        decode(raw, schema, [*(keep or []), "raw"], tolerant)
-        .filter(undecodable(schema))
-        .select(*(keep or []), "raw")
-    )
+    text = unwrap(F.col("raw")) if tolerant else F.col("raw")
+    decoded = decode(raw, schema, [*(keep or []), "raw"], tolerant)
+    return decoded.withColumn("reason", reject_reason(text, schema))
+
+
+def readable(
+    messages: DataFrame,
+    schema: T.StructType = ARTICLE,
+    keep: list[str] | None = None,
+    tolerant: bool = False,
+) -> DataFrame:
+    """The decoded rows that ``dead_letters`` leaves."""
+    rows = decode_with_reason(messages, schema, keep, tolerant).filter("reason IS NULL")
+    return rows.drop("raw", "reason")
+
+
+def dead_letters(
+    messages: DataFrame,
+    schema: T.StructType = ARTICLE,
+    keep: list[str] | None = None,
+    tolerant: bool = False,
+    with_reason: bool = False,
+) -> DataFrame:
+    """What is no message, with its raw text (and the reason), for a side output."""
+    rows = decode_with_reason(messages, schema, keep, tolerant).filter("reason IS NOT NULL")
+    return rows.select(*(keep or []), "raw", *(["reason"] if with_reason else []))
 
 
 def write_messages(df: DataFrame, options: dict[str, str], fmt: str = "kafka") -> None:
