@@ -82,6 +82,34 @@ BODY = (
     f"CASE WHEN regexp_matches(html, {BODY_PATTERN}) "
     f"THEN {_plain(f'regexp_extract(html, {BODY_PATTERN}, 1)')} END"
 )
+
+def _elements(names: str) -> str:
+    return "|".join(f"<{n}\\b[^>]*>.*?(?:</{n}\\s*>|\\z)" for n in names.split())
+
+
+# Blocks of pages, each with its score; the best run by sums of all scores before a block.
+BLOCKS = f"""SELECT page_id, block, pos,
+  CASE WHEN words = 0 THEN 0 ELSE outside - 3 * (words - outside) - tags - 15 END AS score FROM (
+  SELECT page_id, block, pos, len(block) - len(replace(block, '<', '')) AS tags,
+    len(regexp_extract_all(regexp_replace(block, '<[^>]*>', ' ', 'g'), '[^ \\t\\n\\f\\r]+')) AS words,
+    len(regexp_extract_all(regexp_replace(regexp_replace(block, '(?is)<a\\b[^>]*>.*?(?:</a\\s*>|\\z)', ' ', 'g'),
+      '<[^>]*>', ' ', 'g'), '[^ \\t\\n\\f\\r]+')) AS outside
+  FROM (SELECT page_id, unnest(bs) AS block, generate_subscripts(bs, 1) AS pos FROM (
+    SELECT page_id, string_split_regex(
+      regexp_replace(regexp_replace(regexp_replace(html, '(?i)<(/?)article', '<\\1div', 'g'),
+        '(?is)<!--.*?(?:-->|\\z)|{_elements("script style template noscript")}', ' ', 'g'),
+        '(?is){_elements("title nav footer aside")}', ' ', 'g'),
+      '(?i)</?(?:address|article|blockquote|body|br|center|dd|div|dl|dt|fieldset|figcaption|figure|form|h[1-6]|head|header|hr|html|li|main|ol|option|p|pre|section|select|table|tbody|td|tfoot|th|thead|tr|ul)\\b[^>]*>') AS bs
+    FROM pages)))"""
+BEST_RUN = f"""WITH b AS ({BLOCKS}),
+s AS (SELECT *, sum(score) OVER (PARTITION BY page_id ORDER BY pos) AS upto FROM b),
+r AS (SELECT *, min((upto - score) * 1000000 - pos) OVER (PARTITION BY page_id ORDER BY pos) AS low FROM s),
+e AS (SELECT page_id, pos AS stop, upto, CAST(ceil(low / 1000000.0) AS BIGINT) AS base, low FROM r
+  QUALIFY row_number() OVER (PARTITION BY page_id
+    ORDER BY upto - CAST(ceil(low / 1000000.0) AS BIGINT) DESC, pos) = 1)
+SELECT b.page_id, string_agg(block, ' ' ORDER BY pos) AS html
+FROM b JOIN e ON b.page_id = e.page_id AND pos <= stop AND pos >= base * 1000000 - low
+WHERE upto > base GROUP BY b.page_id"""
 HITS = f"""SELECT page_id AS rank, {TITLE} AS title, url,
   regexp_extract(html, '(?i)<html[^>]* lang="([a-z]+)', 1) AS lang
 FROM pages WHERE regexp_extract(html, '(?i)<html[^>]* lang="([a-z]+)', 1) = 'en'
@@ -202,6 +230,21 @@ NORMALIZED = _without(
 )
 CLEANED = _without(WHITESPACE, ENGLISH)
 
+
+
+def _stemmed_tfidf(idf: str, l2: bool = False) -> str:
+    """Weights over the stems of lower-cased script tokens without the short stop list."""
+    final = "w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))" if l2 else "w"
+    return f"""WITH words AS ({_tf(_without(SCRIPT_LOWER, SHORT))}),
+tf AS (SELECT doc_id, stem AS term, sum(tf) AS tf
+  FROM words JOIN ({_stems('SELECT DISTINCT term FROM words')}) s ON words.term = s.term
+  GROUP BY doc_id, stem),
+d AS (SELECT term, CAST(count(*) AS DOUBLE) AS df FROM tf GROUP BY term),
+n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM documents),
+x AS (SELECT doc_id, term, CAST(tf AS DOUBLE) * ({idf}) AS w FROM tf JOIN d USING (term) CROSS JOIN n)
+SELECT doc_id, term, round({final}, 6) AS weight FROM x"""
+
+
 ORACLES: dict[str, str] = {
     "src_batch_messages": f"SELECT doc_id, {PLAIN_JSON} AS text FROM ({ARTICLES})",
     "json_decode": f"""SELECT doc_id, CASE WHEN lang = 'en' THEN title END AS title,
@@ -211,13 +254,27 @@ WHERE lang IN ('en', 'fr')""",
     "json_dead_letters": f"""SELECT doc_id, CASE WHEN lang = 'de' THEN substr(article, 1, 1)
   ELSE CAST(json_array(title, article) AS VARCHAR) END AS raw
 FROM ({ARTICLES}) WHERE lang NOT IN ('en', 'fr')""",
+    "json_dead_letter_reasons": """SELECT doc_id, CASE lang WHEN 'fr' THEN 'no known field' ELSE 'unreadable' END AS reason
+FROM documents WHERE lang IN ('fr', 'de')""",
     "sink_json_messages": f"SELECT doc_id, {PLAIN_JSON} AS value FROM ({ARTICLES})",
     "src_parquet_articles": f"SELECT doc_id, title, article FROM ({ARTICLES})",
     "src_csv_headlines": f"""SELECT "Date", "Label", regexp_replace({RAW_TEXT}, '[^\\x00-\\xff]', '?', 'g') AS article
 FROM ({HEADLINE_ROWS})""",
     "page_extract": f"""SELECT page_id, trim(url) AS url, {TITLE} AS title, {BODY} AS article FROM pages""",
+    "page_body_blocks": f"""SELECT p.page_id, {_plain('r.html')} AS article
+FROM pages p LEFT JOIN ({BEST_RUN}) r ON p.page_id = r.page_id""",
     "article_search": f"""SELECT rank, title, url, lang FROM ({TOPIC_HITS})
 ORDER BY rank LIMIT {hit_limit(40)}""",
+    "article_search_ranked": f"""WITH t AS (
+  SELECT page_id, regexp_extract_all(lower({TITLE}), '[\\p{{L}}\\p{{N}}_]{{2,}}') AS w FROM pages),
+m AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(CAST(len(w) AS DOUBLE)) AS mean FROM t),
+tf AS (SELECT page_id, len(w) AS len, unnest(w) AS term FROM t),
+c AS (SELECT page_id, len, term, CAST(count(*) AS DOUBLE) AS tf FROM tf
+  WHERE term IN ('the', 'of', 'and', 'tion') GROUP BY ALL),
+d AS (SELECT term, CAST(count(*) AS DOUBLE) AS df FROM c GROUP BY term)
+SELECT page_id, round(sum(ln(CAST(1 AS DOUBLE) + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE
+  / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * len / mean))), 6) AS score
+FROM c JOIN d USING (term) CROSS JOIN m GROUP BY page_id ORDER BY score DESC, page_id LIMIT 60""",
     "article_lookup": f"SELECT rank, title, article FROM ({_looked_up(HITS)})",
     "article_nonempty": f"""SELECT doc_id, title, article FROM ({ARTICLES})
 WHERE lang NOT IN ('es', 'de') AND article <> ''""",
@@ -259,6 +316,15 @@ FROM (SELECT DISTINCT unnest(p) AS term FROM {PAIR_DOCS})""",
     "tfidf_spark": _tfidf(WORD, SPARK),
     "features_left_join": f"""SELECT a.doc_id, title, term, weight FROM ({ARTICLES}) a
 LEFT JOIN ({_tfidf(KEPT, SMOOTH, l2=True)}) f ON a.doc_id = f.doc_id""",
+    "tfidf_bigrams": f"""WITH tf AS ({_tf("p", PAIR_DOCS)}),
+d AS (SELECT term, CAST(count(*) AS DOUBLE) AS df FROM tf GROUP BY term),
+n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM documents)
+SELECT doc_id, term, round(CAST(tf AS DOUBLE) * ({SMOOTH}), 6) AS weight
+FROM tf JOIN d USING (term) CROSS JOIN n""",
+    "tfidf_stemmed_log1p": _stemmed_tfidf(LOG1P),
+    "tfidf_stemmed_l2": _stemmed_tfidf(SMOOTH, l2=True),
+    "features_left_join_stemmed": f"""SELECT a.doc_id, title, term, weight FROM ({ARTICLES}) a
+LEFT JOIN ({_stemmed_tfidf(SMOOTH, l2=True)}) f ON a.doc_id = f.doc_id""",
     "stemmed_terms": f"""WITH tf AS ({_tf(KEPT)})
 SELECT doc_id, tf.term AS term, stem, tf
 FROM tf JOIN ({_stems('SELECT DISTINCT term FROM tf')}) s ON tf.term = s.term""",

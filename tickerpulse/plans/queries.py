@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores, stopwords, text
 from ..operators import articles as art
-from ..operators import evaluate, features, headlines, models, sentiment
+from ..operators import evaluate, features, head, headlines, models, search, sentiment
 from ..schemas import ARTICLE, HEADLINE_COLUMNS, SCORE, WEIGHTS
 from ..sources import messages as msg
 from ..sources import pages as pg
@@ -19,6 +19,7 @@ from ..workspace import scratch_path
 
 NEWEST = "2024-03-15 00:00:00"
 TOPIC = "the"
+RANKED_TOPIC = "The of and tion"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -83,6 +84,28 @@ def json_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     return msg.dead_letters(mixed_messages(spark, folder), ARTICLE, ["doc_id"], tolerant=True)
 
 
+@query
+def json_dead_letter_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of four kinds: an article, an object of other fields, a single character, and an
+    article whose fields are null, which is a message."""
+    docs = tables.articles(spark, folder, "lang")
+    nothing = F.to_json(
+        F.struct(F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("article")),
+        {"ignoreNullFields": "false"},
+    )
+    value = (
+        F.when(F.col("lang") == "en", msg.encode(docs, ["title", "article"]))
+        .when(F.col("lang") == "fr", F.to_json(F.struct(F.col("article").alias("body"))))
+        .when(F.col("lang") == "de", F.substring("article", 1, 1))
+        .otherwise(nothing)
+    )
+    dead = msg.dead_letters(
+        docs.select("doc_id", value.cast("binary").alias("value")), ARTICLE, ["doc_id"],
+        tolerant=True, with_reason=True,
+    )
+    return dead.select("doc_id", "reason")
+
+
 @query
 def sink_json_messages(spark: SparkSession, folder: str) -> DataFrame:
     docs = tables.articles(spark, folder)
@@ -125,6 +148,14 @@ def page_extract(spark: SparkSession, folder: str) -> DataFrame:
     return pg.extract_pages(tables.pages(spark, folder))
 
 
+@query
+def page_body_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages whose article elements became plain divisions, so that the blocks must show the body."""
+    plain = F.regexp_replace("html", "(?i)<(/?)article", "<$1div")
+    pages = tables.pages(spark, folder)
+    return pages.select("page_id", pg.page_body(plain).alias("article"))
+
+
 # --- articles ---------------------------------------------------------------------------------
 
 
@@ -139,6 +170,15 @@ def article_search(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("rank", "title", "url", "lang")
 
 
+@query
+def article_search_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    """Titles of all pages ranked for a topic of several words, from a stored index."""
+    titles = pg.extract_titles(tables.pages(spark, folder))
+    index = search.build_index(titles, "title", scratch_path(spark, "search-index"), "page_id")
+    found = search.search(spark, index, RANKED_TOPIC, 60)
+    return found.select(F.col("doc").alias("page_id"), "score")
+
+
 @query
 def article_lookup(spark: SparkSession, folder: str) -> DataFrame:
     found = hits(spark, folder).withColumn("url", F.concat(F.lit(" "), "url", F.lit(" ")))
@@ -333,6 +373,42 @@ def features_left_join(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(joined.select("doc_id", "title", "term", "weight"))
 
 
+@query
+def tfidf_bigrams(spark: SparkSession, folder: str) -> DataFrame:
+    """Bigrams are too many for a broadcast in any real corpus: frequent ones are joined in place,
+    rare ones by a shuffle, also here."""
+    docs = bigram_docs(spark, folder)
+    return rounded(features.fit_idf(docs, "pairs").transform(docs, "smooth", rows=1_000))
+
+
+def script_docs(spark: SparkSession, folder: str) -> DataFrame:
+    """Lower-cased script tokens without the short stop list, as the draft chain takes them."""
+    tokens = text.drop_words(text.tokens_script(F.lower("article")), stopwords.SHORT)
+    return tables.articles(spark, folder).select("doc_id", "title", tokens.alias("tokens"))
+
+
+@query
+def tfidf_stemmed_log1p(spark: SparkSession, folder: str) -> DataFrame:
+    model, counts = features.stemmed_idf(script_docs(spark, folder), "tokens")
+    return rounded(model.weigh(counts, "log1p"))
+
+
+@query
+def tfidf_stemmed_l2(spark: SparkSession, folder: str) -> DataFrame:
+    model, counts = features.stemmed_idf(script_docs(spark, folder), "tokens")
+    return rounded(model.weigh(counts, "smooth", l2=True))
+
+
+@query
+def features_left_join_stemmed(spark: SparkSession, folder: str) -> DataFrame:
+    docs = script_docs(spark, folder)
+    model, counts = features.stemmed_idf(docs, "tokens")
+    joined = features.attach_features(
+        docs.select("doc_id", "title"), model.weigh(counts, "smooth", l2=True)
+    )
+    return rounded(joined.select("doc_id", "title", "term", "weight"))
+
+
 @query
 def stemmed_terms(spark: SparkSession, folder: str) -> DataFrame:
     kept = text.drop_words("tokens", stopwords.SHORT)
@@ -607,8 +683,17 @@ def ml_embedding_head(spark: SparkSession, folder: str) -> DataFrame:
     )
     rows = models.as_vector(rows)
     width = rows.select(F.size("embedding")).first()[0]
-    head = models.embedding_head(rows, width)
-    return head.transform(rows).select("vec_id", "label", F.col("prediction").cast("int"))
+    fitted = models.embedding_head(rows, width)
+    return fitted.transform(rows).select("vec_id", "label", F.col("prediction").cast("int"))
+
+
+@query
+def ml_trained_head(spark: SparkSession, folder: str) -> DataFrame:
+    rows = tables.embeddings(spark, folder).select(
+        "vec_id", F.col("embedding").alias("features"), (F.col("label") >= 5).cast("int").alias("label")
+    )
+    fitted = head.train(rows, "vec_id", "label")
+    return fitted.transform(rows, "vec_id").select("vec_id", F.round("probability", 6).alias("probability"), "prediction")
 
 
 def saved_classifier(spark: SparkSession, folder: str) -> models.PipelineModel:
