@@ -11,24 +11,44 @@ from pyspark.sql import functions as F
 
 from tickerpulse.llm import line_dedup, near_dedup, packing, quality, toxicity
 from tickerpulse.llm.common import DOCUMENT_COLUMNS
+from tickerpulse.operators.joins import marked
 from tickerpulse.workspace import as_table
 
 
+#: Hash of a whole row.  Equal rows share it and their verdict, whatever their ids are.
+ROW = "row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(*DOCUMENT_COLUMNS, F.xxhash64(*DOCUMENT_COLUMNS).alias(ROW))
+
+
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the rejected ids; rows of the same id share one verdict."""
-    gone = as_table(rejected.select("doc_id").distinct(), "rejected")
-    return docs.join(gone, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
+    """The rows of ``docs`` whose key is not among the rejected ones.
+
+    Each row has its own verdict, also with a null id or one that other rows have too.  Only rows
+    that may be rejected meet the keys, so the other texts are not shuffled.
+    """
+    gone = as_table(rejected.select(ROW).distinct(), "rejected")
+    possible = marked(_keyed(docs), gone, [ROW], "possible")
+    open_ = possible.filter("possible").join(gone, ROW, "left_anti")
+    return possible.filter("NOT possible").select(*DOCUMENT_COLUMNS).unionByName(
+        open_.select(*DOCUMENT_COLUMNS)
+    )
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _without(docs, toxicity.score(docs, labels).filter("predicted = 1"))
+    scored = toxicity.score(_keyed(docs), labels, carry=(ROW,))
+    return _without(docs, scored.filter("predicted = 1"))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the fixed and the adaptive quality rules."""
-    return _without(docs, quality.judge(docs).filter("NOT kept"))
+    # The rules do not look at the id, so the row's key takes its place.
+    judged = quality.judge(_keyed(docs).withColumn("doc_id", F.col(ROW)))
+    return _without(docs, judged.filter("NOT kept").withColumnRenamed("doc_id", ROW))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,26 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = as_table(stage(spark, docs, folder), "stage")
         assert docs.count() == 0
+
+
+def test_rows_are_judged_one_by_one(spark):
+    """A null id hides no bad row, and a good row may share the id of a bad one."""
+    good = " ".join(f"word{i} of the story" for i in range(60)) + "."
+    bad = "spam spam spam spam spam " * 30
+    rows = [(None, bad), (None, good), (1, bad), (1, good + " The end."), (2, "short"), (2, None)]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t or "")) for i, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    kept = corpus_pipeline.quality_stage(spark, docs, "/root/testdata/sf0.001").collect()
+    assert {(r["doc_id"], r["text"]) for r in kept} == {(None, good), (1, good + " The end.")}
+    toxic = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").filter("toxic = 1")
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").join(
+        toxic.select("doc_id"), "doc_id"
+    )
+    hidden = texts.selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "lang", "source", "n_chars")
+    seen = corpus_pipeline.toxicity_stage(
+        spark, spark.read.parquet("/root/testdata/sf0.001/documents.parquet").unionByName(hidden),
+        "/root/testdata/sf0.001",
+    )
+    assert seen.filter("doc_id IS NULL").count() <= 0.1 * texts.count()

@@ -326,3 +326,102 @@ def test_queries_against_sql(spark, small, name):
     assert Counter(tuple(r[i] for i in order) for r in rows) == Counter(
         tuple(r) for r in got.select(*names).collect()
     )
+
+
+# --- line dedup ---------------------------------------------------------------------------------
+
+
+def test_line_dedup_leaves_columns_of_any_name(spark):
+    from tickerpulse.llm import line_dedup
+
+    text = "a\nb\nc\nd"
+    names = ["_lines", "_line_id", "_covered", "row", "possible", "covered", "cover_id", "body", "_row"]
+    rows = [(i, text if i < 3 else None, *[f"{n}{i}" for n in names]) for i in range(4)]
+    schema = ", ".join(["doc_id long", "text string", *(f"`{n}` string" for n in names)])
+    df = spark.createDataFrame(rows, schema)
+    got = line_dedup.drop_repeated_lines(df)
+    assert got.columns == [*df.columns, "n_lines", "n_removed"]
+    by_id = {r["doc_id"]: r for r in got.collect()}
+    assert [by_id[i]["text"] for i in range(4)] == [text, "", "", None]
+    assert all(tuple(by_id[i][n] for n in names) == rows[i][2:] for i in range(4))
+    assert [by_id[i]["n_removed"] for i in range(4)] == [0, 4, 4, 0]
+
+
+def test_line_dedup_shuffles_no_untouched_text(spark, small):
+    from tickerpulse.llm.common import documents
+    from tickerpulse.llm import line_dedup
+
+    docs = documents(spark, small)
+    plan = line_dedup.drop_repeated_lines(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and "Python" not in plan and "Arrow" not in plan
+    assert plan.index("Union") < plan.index("SortMergeJoin")
+
+
+# --- token store --------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("end_id", [None, 2])
+@pytest.mark.parametrize("block_ids", [2, 3, 65_536])
+def test_token_store_keeps_documents_without_ids(spark, end_id, block_ids):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tickerpulse.llm import token_store
+    from tickerpulse.workspace import scratch_path
+
+    path_of = public_tokenizers.path("byte_bpe_50k.json")
+    encode = Tokenizer.from_file(path_of).encode
+    for rows in ([(1, "a b"), (2, "")], [(1, ""), (2, "")], [(0, None), (1, "a b c"), (2, ""), (3, "d"), (4, "")]):
+        path = scratch_path(spark, "store")
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+        token_store.write_store(df, path, path_of, end_id=end_id, block_ids=block_ids)
+        got = sorted(tuple(r)[:4] for r in token_store.read_store(spark, path).collect())
+        want, start = [], 0
+        for i, t in rows:
+            ids = encode(t or "", add_special_tokens=False).ids + ([] if end_id is None else [end_id])
+            want.append((i, start, len(ids), brute.crc(ids)))
+            start += len(ids)
+        assert got == want
+
+
+def test_rows_of_one_id_are_split(spark):
+    import public_tokenizers
+
+    from tickerpulse.llm import token_store
+    from tickerpulse.workspace import scratch_path
+
+    path = scratch_path(spark, "store")
+    df = spark.createDataFrame([(None, f"text {i}") for i in range(400)], "doc_id long, text string")
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merged)
+    spark.conf.set(merged, "false")  # Else Spark joins what is small here.
+    token_store.write_store(df.repartition(4), path, public_tokenizers.path("byte_bpe_50k.json"))
+    spark.conf.set(merged, before)
+    shards = spark.read.parquet(f"{path}/blocks").select("shard").distinct().count()
+    assert shards > 1 and token_store.read_store(spark, path).count() == 400
+
+
+def test_ids_of_texts_with_any_white_space():
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from tickerpulse.llm import token_store, units
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rng = random.Random(6)
+    spaces = [" ", "\n", "  ", "\t", "\r\n", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u2028", "\u3000", "\0"]
+    parts = ["word", "Wort", "don't", "<|endoftext|>", "12", "\U0001fae0", "é", "..."]
+    texts = ["", " ", "\n", "a", "a ", " a", "a\n", "\na", "a b\nc", "a\n b", "a \nb"]
+    for _ in range(300):
+        some = spaces[: rng.choice([1, 2, 2, len(spaces)])]
+        texts.append("".join(rng.choice(parts) + rng.choice([*some, ""]) for _ in range(rng.randrange(9))))
+    tokenizer = Tokenizer.from_file(path)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    cache = units.IdCache(token_store._unit_encoder(path), 40)
+    for at in range(0, len(texts), 37):
+        ids, counts = cache.ids(pa.array(texts)[at : at + 37])
+        assert counts.tolist() == [len(w) for w in want[at : at + 37]]
+        assert ids.tolist() == [i for w in want[at : at + 37] for i in w]
+    ids, counts = cache.ids(pa.array([], pa.string()))
+    assert len(ids) == len(counts) == 0

@@ -17,11 +17,15 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
-def id_and_text(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """Only the two columns an operator needs, under fixed names; a null text is empty."""
+def id_and_text(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Only the two columns an operator needs, under fixed names, and the columns ``keep``; a null
+    text is empty."""
     return docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+        *keep,
     )
 
 

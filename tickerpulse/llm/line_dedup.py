@@ -7,7 +7,7 @@ line repeated many times keeps three copies.  Windows of blank lines only do not
 
 Only DataFrame functions are used.  Windows are stored once; window keys are pre-aggregated
 before their shuffle, and the join back to the few repeated ones can be split by AQE, so a window
-that every document holds is no hot spot.
+that every document holds is no hot spot.  Texts that lose no line are not shuffled.
 
 A null text stays null and an empty one empty; documents of fewer than three lines stay as they
 are.  A document may end up empty but is not dropped.  A null ``doc_id`` ranks before all others.
@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+from ..operators.joins import marked
 from ..workspace import as_table
 
 WINDOW = 3
@@ -107,32 +109,43 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     Input columns of those two names are replaced.
     """
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    keyed = docs.select(
-        F.col("doc_id").alias("_line_id"),
-        F.xxhash64("text").alias("_line_body"),
-        *columns,
-    )
     source = docs.select("doc_id", F.xxhash64("text").alias("body"), "text")
-    covered = as_table(covered_lines(source), "covered-lines").select(
-        F.col("doc_id").alias("_cover_id"), F.col("body").alias("_cover_body"), "covered"
-    ).withColumnRenamed("covered", "_covered")
-    joined = keyed.join(
-        covered,
-        F.col("_line_id").eqNullSafe(F.col("_cover_id"))
-        & (F.col("_line_body") == F.col("_cover_body")),
+    covered = as_table(covered_lines(source), "covered-lines")
+    # The input travels as one column, so that its names cannot clash with those used here.
+    rows = docs.select(
+        F.struct(*columns).alias("row"), "doc_id", F.xxhash64("text").alias("body")
+    )
+    on = ["doc_id", "body"]
+    possible = marked(rows, covered.select(*on), on, "possible")
+    spans = covered.select(
+        F.col("doc_id").alias("cover_id"), F.col("body").alias("cover_body"), "covered"
+    )
+    # Only texts that may lose lines are shuffled, at every size of the table.
+    joined = possible.filter("possible").join(
+        spans.hint("merge"),
+        F.col("doc_id").eqNullSafe(F.col("cover_id")) & (F.col("body") == F.col("cover_body")),
         "left",
     )
-    lines = _lines(F.col("text"))
-    with_lines = joined.withColumn("_lines", F.when(F.col("_covered").isNotNull(), lines))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_covered"))
-    text = F.when(
-        F.col("_covered").isNotNull(),
-        F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"),
-    ).otherwise(F.col("text"))
-    return with_lines.select(
-        *[text.alias("text") if c == "text" else F.col(c) for c in columns],
-        F.coalesce(
-            F.length(F.col("text")) - F.length(F.translate("text", "\n", "")) + 1, F.lit(0)
-        ).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_covered"), F.lit(0)).cast("long").alias("n_removed"),
+    whole = possible.filter("NOT possible").withColumn(
+        "covered", F.lit(None).cast("array<int>")
+    )
+    return _result(joined.select("row", "covered"), columns).unionByName(
+        _result(whole.select("row", "covered"), columns)
+    )
+
+
+def _result(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The input's columns with the lines in ``covered`` (null for none) taken out of the text."""
+    text = F.col("row")["text"]
+
+    def cleaned(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("covered"))
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    new_text = F.when(F.col("covered").isNull(), text).otherwise(let(_lines(text), cleaned))
+    n_lines = F.length(text) - F.length(F.translate(text, "\n", "")) + 1
+    return rows.select(
+        *[(new_text if c == "text" else F.col("row")[c]).alias(c) for c in columns],
+        F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("covered"), F.lit(0)).cast("long").alias("n_removed"),
     )

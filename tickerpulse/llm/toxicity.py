@@ -265,25 +265,28 @@ def learn_lexicon(training: DataFrame, limit: int = LEXICON) -> dict[bytes, floa
     return {bytes(r["word"]): candidates[bytes(r["word"])] for r in varied}
 
 
-def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, held_out, score, predicted``."""
+def score(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, held_out, score, predicted``, and its columns ``carry``."""
     training = training_rows(docs, labels, sample)
     counts = dict(training.groupBy("label").count().collect())
-    texts = id_and_text(docs)
+    texts = id_and_text(docs, keep=carry)
     if len(counts) < 2:
         share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
-        scored = texts.select("doc_id", F.lit(share).alias("score"))
+        scored = texts.select("doc_id", *carry, F.lit(share).alias("score"))
     else:
-        scored = _fitted(training, texts)
+        scored = _fitted(training, texts, carry)
     return scored.select(
         "doc_id",
+        *carry,
         held_out().alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
 
 
-def _fitted(training: DataFrame, texts: DataFrame) -> DataFrame:
+def _fitted(training: DataFrame, texts: DataFrame, carry: tuple[str, ...]) -> DataFrame:
     lexicon = learn_lexicon(training)
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features").transform
     rows = as_table(featurize(training, lexicon, ["doc_id", "label"]), "toxic-features").withColumn(
@@ -308,8 +311,8 @@ def _fitted(training: DataFrame, texts: DataFrame) -> DataFrame:
         )
     )
     scored = calibrated.transform(
-        margin(featurize(texts, lexicon, ["doc_id"])).select("doc_id", "margin")
+        margin(featurize(texts, lexicon, ["doc_id", *carry])).select("doc_id", *carry, "margin")
     )
     return scored.select(
-        "doc_id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")).alias("score")
+        "doc_id", *carry, F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")).alias("score")
     )
