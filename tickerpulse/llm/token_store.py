@@ -20,15 +20,16 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import id_and_text, worker_store
-from .units import UnitCache, by_bytes
+from .units import IdCache, by_bytes
 
 BLOCK_IDS = 65_536
-#: Units that a worker keeps with their ids (about 250 bytes each).
+#: Units that a worker keeps with their ids (about 250 bytes each), in two halves.
 CACHED_UNITS = 800_000
 DOC = "struct<doc_id: bigint, first: bigint, n_tokens: bigint>"
 BLOCK = (
@@ -135,7 +136,7 @@ def write_store(
 
     def blocks(batches):
         cache = worker_store(
-            f"units:{tokenizer_path}", lambda: UnitCache(_unit_encoder(tokenizer_path), CACHED_UNITS)
+            f"unit-ids:{tokenizer_path}", lambda: IdCache(_unit_encoder(tokenizer_path), CACHED_UNITS)
         )
         shard = TaskContext.get().partitionId()
         held, held_from, total, number, open_docs, rows = [], 0, 0, 0, [], []
@@ -150,7 +151,9 @@ def write_store(
                 ids = np.frombuffer(raw, dtype="<u4", count=n, offset=at)
                 at += 4 * n
                 inside = [d for d in open_docs if d["first"] < stop]
-                open_docs = [d for d in open_docs if d["first"] + d["n_tokens"] > stop]
+                open_docs = [
+                    d for d in open_docs if max(d["first"] + d["n_tokens"], d["first"] + 1) > stop
+                ]
                 rows.append(
                     (shard, number, held_from, n, inside, to_planes(ids, bits))
                 )
@@ -167,10 +170,12 @@ def write_store(
 
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
-            texts = batch.column("text").to_pylist()
-            for part in by_bytes(texts):
-                for key, values in zip(keys[part], cache.values(texts[part]), strict=True):
-                    raw = b"".join(values) + end
+            texts = batch.column("text")
+            for part in by_bytes(pc.binary_length(texts).to_pylist()):
+                ids, counts = cache.ids(texts.slice(part.start, part.stop - part.start))
+                stops = np.cumsum(counts).tolist()
+                for key, a, b in zip(keys[part], [0, *stops], stops, strict=False):
+                    raw = ids[a:b].tobytes() + end
                     n = len(raw) // 4
                     if n:
                         held.append(raw)
@@ -180,10 +185,19 @@ def write_store(
                 if rows:
                     yield flush()
         cut(total)
+        if open_docs:
+            # Documents without any id at the very end, in a block without ids.
+            nothing = to_planes(np.empty(0, dtype="<u4"), bits)
+            rows.append((shard, number, total, 0, open_docs, nothing))
         if rows:
             yield flush()
 
-    ordered = id_and_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one id are told apart by the beginning of their texts, so they may go to several tasks.
+    ordered = (
+        id_and_text(docs)
+        .repartitionByRange("doc_id", F.substring("text", 1, 64))
+        .sortWithinPartitions("doc_id", "text")
+    )
     ordered.mapInArrow(blocks, BLOCK).write.parquet(f"{path}/blocks")
     spark = docs.sparkSession
     stored = spark.read.schema(BLOCK).parquet(f"{path}/blocks")
