@@ -305,6 +305,15 @@ def test_variants_of_odd_rows(spark):
     assert found_variants(spark, []) == set()
 
 
+def test_very_long_words(spark):
+    long = "".join(random.Random(8).choice("abcdefgh") for _ in range(3000))
+    other = [long[:i] + x + long[i + k :] for i, x, k in ((1500, "é", 1), (0, "", 1), (3000, "x", 0), (50, "q", 0))]
+    rows = [(d, " ".join([*[long] * 30, *[w for w in other for _ in range(5)]])) for d in range(2)]
+    expected = plain_variants(rows, slip=10**9)
+    assert max(k for _, _, _, _, k, _ in expected) == 4
+    assert found_variants(spark, rows, slip=10**9) == expected
+
+
 def test_queries_against_brute_force(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
