@@ -612,4 +612,4 @@ def test_search_visits_few_leaves():
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 10
+    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 13
