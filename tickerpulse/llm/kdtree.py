@@ -2,9 +2,10 @@
 
 Vectors become integers (floor of 256 times each component), so scores are exact.  Shards of
 bounded size are built where the vectors lie: median splits along the widest side of the node's
-box give leaves of contiguous rows, kept with their tight boxes.  A query goes down a tree while
-the box's bound (the largest inner product that any point of the box could have) reaches the
-query's k-th best score so far, and visits the leaves that remain in order of their bounds.
+box give leaves of contiguous rows, kept with their tight boxes.  A query takes nodes best first:
+from a queue of opened nodes always that of the largest bound (the largest inner product that any
+point of its box could have), until that bound falls short of the query's k-th best score so far.
+Bounds are computed for opened nodes only.
 
 The k-th score is propagated: a first pass looks only into each query's best leaf of each shard; the
 k-th best score over all shards is a lower bound for the second pass, and within a task every
@@ -76,28 +77,48 @@ def leaf_order(points: np.ndarray, ids: np.ndarray, leaf_rows: int = LEAF_ROWS):
 
 
 class Tree:
-    """A KD-tree over the rows of one shard."""
+    """A KD-tree over the rows of one shard; nodes are numbered, parents before their children."""
 
     def __init__(self, ids: np.ndarray, points: np.ndarray, leaf_rows: int = LEAF_ROWS):
         by_id = np.argsort(ids, kind="stable")
         ids, points = ids[by_id], points[by_id]
-        order, self.levels = leaf_order(points, ids, leaf_rows)
+        order, levels = leaf_order(points, ids, leaf_rows)
         self.ids, self.points = ids[order], points[order]
-        self.boxes = []
-        for nodes in self.levels:
-            first = np.array([a for a, _ in nodes])
-            self.boxes.append(
-                (
-                    np.minimum.reduceat(self.points, first, axis=0),
-                    np.maximum.reduceat(self.points, first, axis=0),
-                )
-            )
-        self.leaves = self.levels[-1]
-        self.least_id = np.array([self.ids[a] for a, _ in self.leaves])
-
-    def bounds(self, level: int, up: np.ndarray, down: np.ndarray) -> np.ndarray:
-        low, high = self.boxes[level]
-        return up @ high.T + down @ low.T
+        self.nodes = list(levels[0])
+        self.children: list[tuple[int, int] | None] = [None]
+        numbers = [0]
+        for above, below in zip(levels, levels[1:], strict=False):
+            parents, numbers, rest = numbers, [], iter(below)
+            for number, span in zip(parents, above, strict=True):
+                first = next(rest)
+                if first == span:
+                    numbers.append(number)
+                    continue
+                pair = (len(self.nodes), len(self.nodes) + 1)
+                self.nodes += [first, next(rest)]
+                self.children[number] = pair
+                self.children += [None, None]
+                numbers += pair
+        self.leaves = levels[-1]
+        self.low = np.empty((len(self.nodes), points.shape[1]))
+        self.high = np.empty_like(self.low)
+        self.least_id = np.empty(len(self.nodes), dtype=np.int64)
+        for number in reversed(range(len(self.nodes))):
+            pair = self.children[number]
+            if pair is None:
+                start, stop = self.nodes[number]
+                self.low[number] = self.points[start:stop].min(axis=0)
+                self.high[number] = self.points[start:stop].max(axis=0)
+                self.least_id[number] = self.ids[start]
+            else:
+                left, right = pair
+                self.low[number] = np.minimum(self.low[left], self.low[right])
+                self.high[number] = np.maximum(self.high[left], self.high[right])
+                self.least_id[number] = min(self.least_id[left], self.least_id[right])
+
+    def bound(self, number: int, up: np.ndarray, down: np.ndarray) -> np.ndarray:
+        """Largest inner products that points of a node's box could have."""
+        return up @ self.high[number] + down @ self.low[number]
 
 
 class Best:
@@ -126,49 +147,45 @@ class Best:
 
 
 def search(tree: Tree, queries: np.ndarray, best: Best, only_best_leaf: bool = False) -> int:
-    """Update ``best`` with a tree's rows; returns the number of leaf visits."""
+    """Update ``best`` with a tree's rows; returns the number of leaf visits.
+
+    Best-first: each query takes the node of largest bound from its queue, until that bound falls
+    short of its k-th score.  An inner node gives way to its children, whose bounds are computed
+    then; a leaf's rows are scored.  All queries take one node a round, and those that took the
+    same one are handled together.  The queues are rows of one array, with -inf for what is not
+    in them.
+    """
     up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    alive = np.ones((len(queries), 1), dtype=bool)
-    if not only_best_leaf:
-        # Down the levels: a node lives on while its bound reaches the k-th score.
-        need = best.need()[:, None]
-        for level in range(len(tree.levels)):
-            if level:
-                parents, children = tree.levels[level - 1], tree.levels[level]
-                split = np.array([a for a, _ in children])
-                of = np.searchsorted([a for a, _ in parents], split, side="right") - 1
-                alive = alive[:, of]
-            if not alive.any():
-                return 0
-            alive &= tree.bounds(level, up, down) >= need
-    bound = tree.bounds(len(tree.levels) - 1, up, down)
-    if not only_best_leaf:
-        bound = np.where(alive, bound, -np.inf)
-    ranked = np.argsort(-bound, axis=1, kind="stable")
+    queue = np.full((len(queries), len(tree.nodes)), -np.inf)
+    queue[:, 0] = tree.bound(0, up, down)
     going = np.arange(len(queries))
     visits = 0
-    for step in range(1 if only_best_leaf else ranked.shape[1]):
-        leaf = ranked[going, step]
-        reach, need = bound[going, leaf], best.need()[going]
-        kth = best.ids[going, -1]
-        # Leaves come best first: a query whose next bound falls short is done.
-        go = (reach >= need) & (reach > -np.inf)
-        going, leaf, reach, need, kth = going[go], leaf[go], reach[go], need[go], kth[go]
-        if not len(going):
-            break
-        full = best.scores[going, -1]
-        useful = (reach > full) | (tree.least_id[leaf] < kth)
-        rows, leaf = going[useful], leaf[useful]
-        if not len(rows):
-            continue
-        by_leaf = np.argsort(leaf, kind="stable")
-        rows, leaf = rows[by_leaf], leaf[by_leaf]
-        cuts = np.flatnonzero(np.append(True, leaf[1:] != leaf[:-1]))
-        for at, stop in zip(cuts, [*cuts[1:], len(leaf)], strict=True):
-            a, b = tree.leaves[leaf[at]]
+    while len(going):
+        taken = queue[going].argmax(axis=1)
+        reach = queue[going, taken]
+        go = (reach >= best.need()[going]) & (reach > -np.inf)
+        going, taken, reach = going[go], taken[go], reach[go]
+        queue[going, taken] = -np.inf
+        # A node that can only tie helps with a smaller id.
+        useful = (reach > best.scores[going, -1]) | (tree.least_id[taken] < best.ids[going, -1])
+        rows, node = going[useful], taken[useful]
+        by_node = np.argsort(node, kind="stable")
+        rows, node = rows[by_node], node[by_node]
+        cuts = np.flatnonzero(np.append(True, node[1:] != node[:-1])) if len(node) else []
+        ended = []
+        for at, stop in zip(cuts, [*cuts[1:], len(node)], strict=False):
             group = rows[at:stop]
-            best.add(group, queries[group] @ tree.points[a:b].T, tree.ids[a:b])
-            visits += len(group)
+            pair = tree.children[node[at]]
+            if pair is None:
+                a, b = tree.nodes[node[at]]
+                best.add(group, queries[group] @ tree.points[a:b].T, tree.ids[a:b])
+                visits += len(group)
+                ended.append(group)
+                continue
+            for child in pair:
+                queue[group, child] = tree.bound(child, up[group], down[group])
+        if only_best_leaf and ended:
+            going = np.setdiff1d(going, np.concatenate(ended))
     return visits
 
 
