@@ -11,7 +11,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tickerpulse.llm import centroids, jaccard_join, spelling
+from tickerpulse.llm import centroids, jaccard_join, kdtree, quality, spelling
 from tickerpulse.llm.queries import ORACLES, QUERIES
 
 from . import brute
@@ -434,3 +434,54 @@ def test_ids_of_texts_with_any_white_space():
         assert ids.tolist() == [i for w in want[at : at + 37] for i in w]
     ids, counts = cache.ids(pa.array([], pa.string()))
     assert len(ids) == len(counts) == 0
+
+
+# --- fences and best-first search ---------------------------------------------------------------
+
+
+def test_quality_fences_where_most_values_are_zero(spark):
+    """Few texts show symbols: the fence lies half-way to them, and follows each source."""
+    far = {"loud": 20, "quiet": 8}
+    rows = []
+    for n, (source, symbols) in enumerate(far.items()):
+        for i in range(2_000):
+            words = [f"word{chr(97 + (i + k) % 26)}" for k in range(20)]
+            marks = ["#" * symbols] if i % 50 == 0 else []
+            rows.append((10_000 * n + i, " ".join(words + marks), "en", source))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    fences = {r["_s"]: r["symbol_rate_high"] for r in quality.thresholds(quality.measures(docs)).collect()}
+    for source, symbols in far.items():
+        assert fences[source] == pytest.approx(0.5 * symbols / 21, rel=0.1)
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(docs).collect()}
+    assert [i for i, k in kept.items() if not k] and all(
+        k == (i % 50 != 0) for i, k in kept.items()
+    )
+
+
+def test_small_groups_follow_their_language(spark):
+    """A group's fence is the weighted mean of its own and its language's, without a jump."""
+    rows = [
+        (i, " ".join(f"{'x' * (3 + i % 3)}{k}" for k in range(12)), "en", "large") for i in range(900)
+    ]
+    rows += [(2_000 + i, " ".join("y" * 30 + str(k) for k in range(12)), "en", "small") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    fences = {r["_s"]: r["word_length_high"] for r in quality.thresholds(quality.measures(docs)).collect()}
+    own = (30 * 12 + 14) / 12 + 6
+    # The language has the corpus's fence here, as it is the only one.
+    language = fences["large"]
+    assert fences["small"] == pytest.approx((4 * own + 40 * language) / 44, rel=0.02)
+
+
+@pytest.mark.parametrize("width", [3, 64])
+def test_best_first_search_prunes_clusters(width):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(0, 1, (64, width))
+    points = np.floor(256 * (centres[rng.integers(0, 64, 8_192)] + rng.normal(0, 0.05, (8_192, width))))
+    tree = kdtree.Tree(np.arange(8_192), points)
+    queries = points[::50]
+    probe = kdtree.Best(np.full(len(queries), -1), 5)
+    assert kdtree.search(tree, queries, probe, only_best_leaf=True) == len(queries)
+    best = kdtree.Best(np.full(len(queries), -1), 5, probe.scores[:, -1])
+    visits = kdtree.search(tree, queries, best)
+    assert visits < 0.15 * len(queries) * len(tree.leaves)
+    assert (best.scores == -np.sort(-(queries @ points.T), axis=1)[:, :5]).all()

@@ -1,12 +1,14 @@
 """Quality rules with thresholds that follow the corpus.
 
 Every text gives a few measures.  For each (lang, source) a mergeable quantile sketch (KLL) of
-every measure is built next to the data and merged across tasks; sketches of small groups are
-merged on to their language and to the whole corpus.  A measure's fence lies at the median plus a
-multiple of the 90 % quantile's distance from it (from below, of the 10 % quantile's).  A floor
-keeps the fence off the median where that spread is zero, as it is while fewer than a tenth of a
-group's texts show the measure at all.  Texts are then judged by a join with their group's fences.
-A group with more than a tenth of junk widens its own fences.  Groups with a large share of all
+every measure is built next to the data and merged across tasks, on to languages and to the whole
+corpus.  A measure's fence lies at the median plus a multiple of the 90 % quantile's distance from
+it (from below, of the 10 % quantile's), and no nearer than a floor.  Where fewer than a quarter of
+the texts show a measure at all, sketches of the positive values tell how far off those texts
+stand; if half-way to their 10 % quantile is beyond the floor, the fence lies there.  A group's fence is drawn towards its language's, and a language's
+towards the corpus's, by the weight of a fixed number of rows, so a fence moves smoothly with the
+size of its group.  Texts are then judged by a join with their group's fences.
+A group with more than a tenth of junk that does not stand apart widens its own fences.  Groups with a large share of all
 rows are no problem: sketches have a fixed size, and the join can be split.
 
 Fixed rules come first: a text fails with fewer than 10 words or with more than 20 % of its
@@ -30,8 +32,8 @@ from ..workspace import as_table
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-#: Rows that a group needs for fences of its own.
-GROUP_ROWS = 200
+#: Weight, in rows, of a language's fence in its groups' fences, and of the corpus's in a language's.
+PRIOR_ROWS = 40
 #: Size parameter of the sketches: rank errors below 1 %.
 SKETCH_K = 400
 #: The quantile that shows a group's spread; from below, its mirror image.
@@ -47,6 +49,11 @@ FLOORS = {
     "mark_rate": 0.1,
     "word_length": 6.0,
 }
+#: Measures that most texts may not show at all, and the share below which they count as rare.
+RARE_SHARE = 0.25
+RARE = [c for c in FLOORS if c != "word_length"]
+#: Where a fence lies on the way to the 10 % quantile of the values that are shown.
+APART = 0.5
 #: Measures that are also fenced from below.
 TWO_SIDED = {"word_length": 1.0}
 
@@ -133,16 +140,22 @@ def measures(docs: DataFrame) -> DataFrame:
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """``lang, source, n`` and one sketch per measure."""
+    """``lang, source, n``, a sketch per measure, and counts and sketches of positive values."""
+    shown = {c: F.when(F.col(c) > 0, F.col(c)) for c in RARE}
     return measured.groupBy("lang", "source").agg(
         F.count("*").alias("n"),
         *(F.kll_sketch_agg_double(F.col(c), F.lit(SKETCH_K)).alias(c) for c in FLOORS),
+        *(F.count(v).alias(f"{c}_shown") for c, v in shown.items()),
+        *(F.kll_sketch_agg_double(v, F.lit(SKETCH_K)).alias(f"{c}_positive") for c, v in shown.items()),
     )
 
 
 def _merged(sketched: DataFrame, *keys: str) -> DataFrame:
+    merged = [*FLOORS, *(f"{c}_positive" for c in RARE)]
+    added = ["n", *(f"{c}_shown" for c in RARE)]
     return sketched.groupBy(*keys).agg(
-        F.sum("n").alias("n"), *(F.kll_merge_agg_double(F.col(c)).alias(c) for c in FLOORS)
+        *(F.sum(c).alias(c) for c in added),
+        *(F.kll_merge_agg_double(F.col(c)).alias(c) for c in merged),
     )
 
 
@@ -154,6 +167,11 @@ def _fences(sketched: DataFrame, prefix: str, *keys: str) -> DataFrame:
     for c, floor in FLOORS.items():
         middle = quantile(c, 0.5)
         high = middle + F.greatest(F.lit(floor), SPREAD * (quantile(c, UPPER) - middle))
+        if c in RARE:
+            shown = F.col(f"{c}_shown")
+            rare = (shown > 0) & (shown < RARE_SHARE * F.col("n"))
+            apart = F.when(rare, APART * quantile(f"{c}_positive", 1 - UPPER))
+            high = F.when(apart > floor, apart).otherwise(high)
         out.append(high.alias(f"{prefix}{c}_high"))
         if c in TWO_SIDED:
             near = F.greatest(F.lit(TWO_SIDED[c]), SPREAD * (middle - quantile(c, 1 - UPPER)))
@@ -162,7 +180,7 @@ def _fences(sketched: DataFrame, prefix: str, *keys: str) -> DataFrame:
 
 
 def thresholds(measured: DataFrame) -> DataFrame:
-    """Fences of every (lang, source), stored: its own, or its language's, or the corpus's."""
+    """Fences of every (lang, source), stored: its own, drawn towards its language's and the corpus's."""
     sketched = as_table(sketches(measured), "quality-sketches")
     by_lang = as_table(_merged(sketched, "lang"), "quality-lang").withColumnRenamed("lang", "_lang")
     whole = as_table(_merged(sketched).filter("n > 0"), "quality-all")
@@ -173,16 +191,15 @@ def thresholds(measured: DataFrame) -> DataFrame:
         .join(F.broadcast(_fences(whole, "a_")), F.lit(True))
     )
 
-    def pick(c: str) -> Column:
-        return (
-            F.when(F.col("g_n") >= GROUP_ROWS, F.col(f"g_{c}"))
-            .when(F.col("l_n") >= GROUP_ROWS, F.col(f"l_{c}"))
-            .otherwise(F.col(f"a_{c}"))
-            .alias(c)
-        )
+    def drawn(own: Column, rows: Column, towards: Column) -> Column:
+        return (rows * own + PRIOR_ROWS * towards) / (rows + PRIOR_ROWS)
+
+    def mix(c: str) -> Column:
+        language = drawn(F.col(f"l_{c}"), F.col("l_n"), F.col(f"a_{c}"))
+        return drawn(F.col(f"g_{c}"), F.col("g_n"), language).alias(c)
 
     names = [f"{c}_high" for c in FLOORS] + [f"{c}_low" for c in TWO_SIDED]
-    fences = joined.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), *map(pick, names))
+    fences = joined.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), *map(mix, names))
     return as_table(fences, "quality-fences")
 
 
