@@ -11,11 +11,11 @@ import duckdb
 import numpy as np
 import pytest
 
-from tickerpulse.llm import centroids, jaccard_join, kdtree, quality, spelling
+from tickerpulse.llm import centroids, jaccard_join, kdtree, licenses, quality, spelling
 from tickerpulse.llm.queries import ORACLES, QUERIES
 
 from . import brute
-from .test_operators import empty, odd, odd_rows  # noqa: F401
+from .test_operators import empty, instances, odd, odd_rows  # noqa: F401
 
 NAN, INF = float("nan"), float("inf")
 
@@ -485,3 +485,42 @@ def test_best_first_search_prunes_clusters(width):
     visits = kdtree.search(tree, queries, best)
     assert visits < 0.15 * len(queries) * len(tree.leaves)
     assert (best.scores == -np.sort(-(queries @ points.T), axis=1)[:, :5]).all()
+
+
+# --- hand-written license signatures ------------------------------------------------------------
+
+
+def test_every_hand_written_signature_is_detected():
+    gated, rules = licenses.by_keyword(), licenses.hand_written()
+    assert len({r.pattern for r in rules}) == len(rules) > 200
+    for rule in rules:
+        # A bounded gap between two parts of a sentence stands for one word.
+        plain = re.sub(rb"\.\{1,\d+\}\?", b"gap", rule.pattern.pattern)
+        for line in instances(re.compile(plain)):
+            assert rule.pattern.search(line) and rule.keyword in line, (rule, line)
+            found = licenses.detections(line, gated)
+            assert rule.label in {r.label for *_, r in found}, (rule, line)
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("SPDX id BSD-3-Clause", {"bsd"}),
+        ("Apache 2.0", {"apache"}),
+        ("License: MIT", {"mit"}),
+        ("0BSD", {"0bsd"}),
+        ("the SIL Open Font License, Version 1.1", {"ofl"}),
+        ("SSPL", {"sspl"}),
+        ("EUPL-1.2", {"eupl"}),
+        ("Business Source License 1.1", {"busl"}),
+        ("CC BY-ND 4.0", {"cc-by-nd"}),
+        ("Tous droits réservés.", {"reserved"}),
+        ("Redistributions of source code must retain the above copyright notice", {"bsd"}),
+        ("we teach ASL at school", set()),
+        ("er kam mit dem Zug", set()),
+        ("apache helicopters over the artistic quarter", set()),
+    ],
+)
+def test_license_short_forms_and_sentences(text, want):
+    line, _ = licenses.line_of(text)
+    assert {r.label for *_, r in licenses.detections(line, licenses.by_keyword())} == want

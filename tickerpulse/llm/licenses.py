@@ -2,7 +2,8 @@
 
 A text becomes its words, in lower case, parted by single blanks.  A rule is a regular expression
 over that line with a label, a priority and a keyword; only rules whose keyword the line holds
-are tried.  Of overlapping detections one that lies inside another of at least its priority is
+are tried.  Over two hundred are written by hand (``license_signatures``); others put the names of
+license families together with what leads to them and their versions.  Of overlapping detections one that lies inside another of at least its priority is
 suppressed, so "mit license" inside "released under the mit license" counts once.
 
 Base phrases are looked for besides, all their places are counted and their labels always stay.
@@ -20,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import id_and_text
+from .license_signatures import SIGNATURES as HAND_WRITTEN
 
 # Base phrases and their labels.
 BASE = {
@@ -82,6 +84,8 @@ SIGNATURES = [
     ("copyright", "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}", 2),
     ("spdx", "spdx", r"spdx license identifier [^ ]+(?: [0-9]+){0,2}(?: only| or later)?", 8),
 ]
+#: Names that are words of their own and count only after a lead, with a version or a license word.
+AMBIGUOUS = {"asl"}
 LEADS = ["", "(?:released|licensed|distributed|available|published) under (?:the |a )?",
          "under the terms of the ", "subject to the "]
 
@@ -100,27 +104,36 @@ class Rule:
 
 
 def rules() -> list[Rule]:
-    """All rules, the strongest first: every name with every lead and version, and signatures."""
+    """Rules of families, the strongest first: names with every lead and version, and signatures."""
     made = []
     for label, keyword, names, versions in FAMILIES:
         for name in names:
             for k, lead in enumerate(LEADS):
                 forms = [name, *(f"{name} (?:version |v)?{v}" for v in versions),
                          *(f"{v} {name}" for v in versions if not v[0].isdigit() or "clause" in v)]
+                if name in AMBIGUOUS and not lead:
+                    forms[0] = f"{name} license"
                 for j, form in enumerate(forms):
                     made.append((label, keyword, lead + form, 3 + (k > 0) + 2 * (j > 0)))
+    return _compiled(made + SIGNATURES)
+
+
+def hand_written() -> list[Rule]:
+    """Rules of the hand-written signatures, the strongest first."""
+    return _compiled(HAND_WRITTEN)
+
+
+def _compiled(rows: list[tuple[str, str, str, int]]) -> list[Rule]:
     return [
         Rule(label, f" {keyword} ".encode() if len(keyword) < 4 else keyword.encode(),
              re.compile(f"(?<= )(?:{pattern})(?= )".encode()), priority)
-        for label, keyword, pattern, priority in sorted(
-            made + SIGNATURES, key=lambda r: (-r[3], r[0], r[2])
-        )
+        for label, keyword, pattern, priority in sorted(rows, key=lambda r: (-r[3], r[0], r[2]))
     ]
 
 
 def by_keyword() -> dict[bytes, list[Rule]]:
     out: dict[bytes, list[Rule]] = {}
-    for rule in rules():
+    for rule in rules() + hand_written():
         out.setdefault(rule.keyword, []).append(rule)
     return out
 
