@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .functions.scores import class_name
 from .operators import articles as art
-from .operators import evaluate, headlines, models
+from .operators import evaluate, headlines, models, subwords
 from .schemas import TICKER_ARTICLE
 from .session import build_session
 from .sources import messages as msg
@@ -92,10 +92,19 @@ def label(spark: SparkSession, args: argparse.Namespace) -> None:
     """Add the sentiment of each article.
 
     With ``--predictions`` each article with a symbol also becomes a message for ``scale``: -1, 0 or
-    1 for negative, neutral and positive.
+    1 for negative, neutral and positive.  With ``--vocabulary`` the model sees only the words whose
+    pieces fit into ``--max-length`` ids; the articles are stored whole.
     """
     rows = tables.read_parquet(spark, args.articles, TICKER_ARTICLE)
-    scored = models.load_model(args.model).transform(rows)
+    model = models.load_model(args.model)
+    if args.vocabulary:
+        pieces = subwords.read_vocabulary(args.vocabulary)
+        mark = max(pieces.values(), default=0) + 1
+        rows = subwords.within_limit(rows, pieces, mark, max_length=args.max_length)
+        rows = rows.withColumnsRenamed({"article": "whole_article", "model_text": "article"})
+        scored = model.transform(rows).drop("article").withColumnRenamed("whole_article", "article")
+    else:
+        scored = model.transform(rows)
     named = class_name(F.col("prediction").cast("int")).alias("sentiments")
     scored.select("title", "article", named, "ticker", "prediction").write.parquet(args.out)
     if args.predictions:
@@ -163,7 +172,10 @@ def parser() -> argparse.ArgumentParser:
     )
     command("ingest", ingest, "topic", "out", "checkpoint", dead_letters=(str, None), **stream)
     command("train", train, "labelled", "model")
-    command("label", label, "articles", "model", "out", predictions=(str, None))
+    command(
+        "label", label, "articles", "model", "out", predictions=(str, None),
+        vocabulary=(str, None), max_length=(int, subwords.MAX_LENGTH),
+    )
     command("scale", scale, "topic", "to", "checkpoint", **stream)
     command("store", store, "topic", "out", "checkpoint", **stream)
     command(

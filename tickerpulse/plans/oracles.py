@@ -220,6 +220,42 @@ FROM ({_cut(out, '(e)$')})"""
   ELSE w END AS stem FROM ({out})"""
 
 
+# Longest pieces from left to right over the hexadecimal bytes of each distinct word.
+MODEL_TOKENS = f"""
+WITH RECURSIVE pieces AS MATERIALIZED (
+  SELECT hex(from_base64(piece)) AS piece, id FROM read_csv('/opt/tokenizers/byte_bpe_50k.tiktoken',
+    delim=' ', header=false, quote='', escape='', columns={{'piece': 'VARCHAR', 'id': 'INTEGER'}})),
+docs AS MATERIALIZED (SELECT doc_id, {WORD} AS words FROM documents),
+units AS MATERIALIZED (
+  SELECT DISTINCT hex(encode(' ' || w)) AS unit FROM (SELECT unnest(words) AS w FROM docs)),
+spans AS (
+  SELECT unit, p, unnest(range(1, 1 + least(length(unit) // 2 - p,
+    (SELECT max(length(piece)) // 2 FROM pieces)))) AS n
+  FROM (SELECT unit, unnest(range(0, length(unit) // 2)) AS p FROM units)),
+longest AS MATERIALIZED (
+  SELECT unit, p, max(n) AS n, arg_max(id, n) AS id
+  FROM spans JOIN pieces ON piece = substr(unit, 2 * p + 1, 2 * n) GROUP BY unit, p),
+chain AS (
+  SELECT unit, p, n, id FROM longest WHERE p = 0
+  UNION ALL
+  SELECT g.unit, g.p, g.n, g.id FROM chain c JOIN longest g ON g.unit = c.unit AND g.p = c.p + c.n),
+cut AS MATERIALIZED (SELECT unit, list(id ORDER BY p) AS ids FROM chain GROUP BY unit),
+placed AS (
+  SELECT doc_id, i, w, ids,
+    sum(len(ids)) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS upto
+  FROM (SELECT doc_id, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS i FROM docs)
+  JOIN cut ON unit = hex(encode(' ' || w))),
+whole AS (
+  SELECT doc_id, flatten(list(ids ORDER BY i)) AS ids, max(upto) AS n,
+    string_agg(w, ' ' ORDER BY i) FILTER (WHERE upto <= 510) AS fits
+  FROM placed GROUP BY doc_id)
+SELECT doc_id,
+  array_to_string([50256] || coalesce(ids, [])[1:510] || list_transform(
+    range(0, 511 - least(510, coalesce(n, 0))::BIGINT), lambda x: 50256), ',') AS input_ids,
+  (2 + least(510, coalesce(n, 0)))::BIGINT AS n_unmasked,
+  coalesce(n, 0)::BIGINT AS n_pieces,
+  coalesce(fits, '') AS model_text
+FROM docs LEFT JOIN whole USING (doc_id)"""
 KEPT = _without(WORD, SHORT)
 RAW_MESSAGES = f"SELECT doc_id, 'news' AS topic, {PLAIN_JSON} AS value FROM ({ARTICLES})"
 PAIR_DOCS = f"(SELECT doc_id, {_pairs('t')} AS p FROM (SELECT doc_id, {WORD} AS t FROM documents))"
@@ -296,6 +332,8 @@ FROM documents""",
     "tokens_word": _token_report(WORD),
     "tokens_no_stopwords": _token_report(CLEANED),
     "tokens_custom_stopwords": _token_report(_without(SCRIPT, SHORT, "w")),
+    "tokens_model": MODEL_TOKENS,
+    "stream_model_tokens": MODEL_TOKENS,
     "tokens_truncated": _token_report(f"({WORD})[1:512]"),
     "bigrams": f"""SELECT doc_id, CAST(len(p) AS INTEGER) AS n, array_to_string(p, '|') AS tokens
 FROM (SELECT doc_id, {_pairs('t')} AS p FROM (SELECT doc_id, {CLEANED} AS t FROM documents))""",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores, stopwords, text
 from ..operators import articles as art
-from ..operators import evaluate, features, head, headlines, models, search, sentiment
+from ..operators import evaluate, features, head, headlines, models, search, sentiment, subwords
 from ..schemas import ARTICLE, HEADLINE_COLUMNS, SCORE, WEIGHTS
 from ..sources import messages as msg
 from ..sources import pages as pg
@@ -278,6 +278,36 @@ def tokens_truncated(spark: SparkSession, folder: str) -> DataFrame:
     return token_report(spark, folder, text.truncate(text.tokens_word("article"), 512))
 
 
+#: A public vocabulary of byte pieces, and the id it leaves free.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+VOCABULARY_MARK = 50_256
+
+
+def limited(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    return subwords.within_limit(rows, subwords.read_vocabulary(VOCABULARY), VOCABULARY_MARK)
+
+
+def model_token_report(rows: DataFrame, key: str) -> DataFrame:
+    return rows.select(
+        F.col(key).alias("doc_id"),
+        F.array_join("input_ids", ",").alias("input_ids"),
+        F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("long").alias("n_unmasked"),
+        "n_pieces",
+        "model_text",
+    )
+
+
+@query
+def tokens_model(spark: SparkSession, folder: str) -> DataFrame:
+    return model_token_report(limited(spark, tables.articles(spark, folder)), "doc_id")
+
+
+@query
+def stream_model_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    rows = jobs.parsed_articles(article_stream(spark, folder))
+    return through_parquet(model_token_report(limited(spark, rows), "offset"), "model-tokens")
+
+
 @query
 def bigrams(spark: SparkSession, folder: str) -> DataFrame:
     rows = jobs.article_features(tables.articles(spark, folder))
@@ -670,6 +700,18 @@ def ml_sentiment(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "title", "sentiments")
 
 
+@query
+def ml_sentiment_limited(spark: SparkSession, folder: str) -> DataFrame:
+    """Scored live within a model's input length of 512 pieces."""
+    weights, bias = models.fit_linear_weights(labelled_articles(spark, folder))
+    scorer = sentiment.linear_scorer(weights, bias)
+    rows = limited(spark, jobs.parsed_articles(article_stream(spark, folder)))
+    scored = sentiment.with_sentiment(rows, scorer, "model_text")
+    return through_parquet(
+        scored.select(F.col("offset").alias("doc_id"), "title", "sentiments"), "limited-sentiment"
+    )
+
+
 @query
 def ml_linear_score(spark: SparkSession, folder: str) -> DataFrame:
     model = models.linear_score_model(labelled_articles(spark, folder), "quality")
