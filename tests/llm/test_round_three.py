@@ -524,3 +524,15 @@ def test_every_hand_written_signature_is_detected():
 def test_license_short_forms_and_sentences(text, want):
     line, _ = licenses.line_of(text)
     assert {r.label for *_, r in licenses.detections(line, licenses.by_keyword())} == want
+
+
+def test_keywords_found_in_one_pass():
+    gated = licenses.by_keyword()
+    find = licenses.keyword_finder(list(gated))
+    texts = ["", "GPLv3 or later, GPL 2.0", "mit license", "Tous droits réservés é", "x" * 5_000]
+    texts += [" ".join(k.decode() for k in gated)]
+    for text in texts:
+        line, _ = licenses.line_of(text)
+        held = find(line)
+        assert held == {k for k in gated if k in line}
+        assert set(licenses.detections(line, gated, held)) == set(licenses.detections(line, gated))

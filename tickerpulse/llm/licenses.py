@@ -15,8 +15,10 @@ itself; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -155,13 +157,26 @@ def base_places(line: bytes) -> list[tuple[int, str]]:
     return sorted(out)
 
 
-def detections(line: bytes, gated: dict[bytes, list[Rule]]) -> list[tuple[int, int, Rule]]:
-    """Surviving (start, end, rule), by place in the line."""
+def keyword_finder(keywords: list[bytes]) -> Callable[[bytes], set[bytes]]:
+    """A function of a line to the keywords it holds, all looked for in one pass."""
+    automaton = ahocorasick.Automaton()
+    for keyword in keywords:
+        # One character a byte.
+        automaton.add_word(keyword.decode("latin-1"), keyword)
+    automaton.make_automaton()
+    return lambda line: {keyword for _, keyword in automaton.iter(line.decode("latin-1"))}
+
+
+def detections(
+    line: bytes, gated: dict[bytes, list[Rule]], held: set[bytes] | None = None
+) -> list[tuple[int, int, Rule]]:
+    """Surviving (start, end, rule), by place in the line; ``held`` are its keywords, if known."""
+    if held is None:
+        held = {keyword for keyword in gated if keyword in line}
     found = [
         (m.start(), m.end(), rule)
-        for keyword, group in gated.items()
-        if keyword in line
-        for rule in group
+        for keyword in held
+        for rule in gated[keyword]
         for m in rule.pattern.finditer(line)
     ]
     # By start, longest first: whatever holds a detection stands before it.
@@ -191,6 +206,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         gated = by_keyword()
+        find = keyword_finder(list(gated))
         fields = [
             ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()),
             ("first_word", pa.int64()), ("last_word", pa.int64()), ("base_labels", pa.string()),
@@ -203,7 +219,7 @@ def scan(docs: DataFrame) -> DataFrame:
             ):
                 line, n = line_of(text)
                 places = base_places(line)
-                found = detections(line, gated)
+                found = detections(line, gated, find(line))
                 own = {label for _, label in places}
                 doubt = 1.0
                 for strength in [r.priority for _, _, r in found] + [5] * len(places):
