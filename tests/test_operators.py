@@ -58,6 +58,54 @@ def test_split_join_makes_its_facts_once(spark):
     assert made.value == 900
 
 
+def test_join_without_heavy_keys_is_one_pass(spark):
+    facts = spark.range(1000).select("id", (F.col("id") % 200).cast("string").alias("k"))
+    dim = facts.groupBy("k").agg(F.count("*").alias("n"))
+    joined = join_by_weight(facts, dim, "k", "n", rows=10)
+    plan = joined._jdf.queryExecution().toString()
+    assert "LeftAnti" not in plan and "Union" not in plan
+    assert rows(joined) == rows(facts.join(dim, "k"))
+
+
+def counted_docs(spark):
+    """Three documents, one id twice, and the number of texts that were cut so far."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    docs = [(1, ["b", "a", "b"]), (2, ["a", "running", "runs"]), (2, ["b", "c"]), (None, ["c"])]
+    schema = "doc_id int, tokens array<string>"
+    return spark.createDataFrame(docs, schema).mapInArrow(count, schema), made
+
+
+@pytest.mark.parametrize("l2", [False, True])
+def test_corpus_weights_cut_its_texts_once(spark, l2):
+    docs, made = counted_docs(spark)
+
+    def weights(df):
+        return sorted((str(r["doc_id"]), r["term"], round(r["weight"], 9)) for r in df.collect())
+
+    want = weights(features.fit_idf(docs, "tokens").transform(docs, "smooth", l2=l2))
+    before = made.value
+    model = features.fit_idf(docs, "tokens", "doc_id")
+    assert weights(model.transform(docs, "smooth", l2=l2, rows=0)) == want
+    # Once for the terms and once to count the documents.
+    assert made.value - before == 2 * 4
+    # Other documents, or another key, are counted anew.
+    other = docs.filter("doc_id = 1")
+    assert {r["doc_id"] for r in model.transform(other).collect()} == {1}
+
+
+def test_stems_cut_texts_once(spark):
+    docs, made = counted_docs(spark)
+    got = [tuple(r) for r in features.stemmed_counts(docs, "tokens").collect()]
+    assert (2, "running", "run", 1) in got and (2, "runs", "run", 1) in got
+    assert made.value == 4
+
+
 def test_marked_never_loses_a_match(spark):
     facts = spark.range(3000).select(
         F.when(F.col("id") % 7 != 0, F.col("id")).alias("id"), F.lit("x").alias("_row")

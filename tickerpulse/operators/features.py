@@ -62,11 +62,17 @@ IDF_FORMULAS: dict[str, Callable[[Column, Column], Column]] = {
 
 @dataclass(frozen=True)
 class IdfModel:
-    """Document frequencies of a corpus, as a stored table, and the number of documents."""
+    """Document frequencies of a corpus, as a stored table, and the number of documents.
+
+    A model may keep the corpus and its stored counts, so that its own texts are not read again.
+    """
 
     table: DataFrame
     n_docs: int
     tokens: str
+    corpus: DataFrame | None = None
+    counts: DataFrame | None = None
+    doc: str = "doc_id"
 
     def transform(
         self,
@@ -81,7 +87,9 @@ class IdfModel:
         ``l2`` scales each document to length 1, which takes one shuffle by document.  ``limits``
         are those of ``join_by_weight``.
         """
-        return self.weigh(term_freq(docs, self.tokens, doc), formula, l2, doc, **limits)
+        known = self.counts is not None and docs is self.corpus and doc == self.doc
+        counts = self.counts if known else term_freq(docs, self.tokens, doc)
+        return self.weigh(counts, formula, l2, doc, **limits)
 
     def weigh(
         self,
@@ -95,7 +103,8 @@ class IdfModel:
         weight = F.col("tf").cast("double") * IDF_FORMULAS[formula](
             F.lit(float(self.n_docs)), F.col("df").cast("double")
         )
-        weighted = join_by_weight(counts, self.table, "term", "df", **limits).select(
+        stored = counts is self.counts
+        weighted = join_by_weight(counts, self.table, "term", "df", stored=stored, **limits).select(
             doc, "term", weight.alias("weight")
         )
         if not l2:
@@ -104,15 +113,22 @@ class IdfModel:
         return weighted.withColumn("weight", F.col("weight") / norm)
 
 
-def fit_idf(docs: DataFrame, tokens: str) -> IdfModel:
-    """Count documents and document frequencies of the corpus once."""
-    return IdfModel(as_table(doc_freq(docs, tokens), "doc-freq"), docs.count(), tokens)
+def fit_idf(docs: DataFrame, tokens: str, doc: str | None = None) -> IdfModel:
+    """Count documents and document frequencies of the corpus once.
+
+    With ``doc``, the name of its key, the counts are stored as well, for weights of the corpus
+    itself: its texts are cut into terms only once.
+    """
+    if doc is None:
+        return IdfModel(as_table(doc_freq(docs, tokens), "doc-freq"), docs.count(), tokens)
+    counts = as_table(term_freq(docs, tokens, doc), "term-counts")
+    table = as_table(counted_doc_freq(counts), "doc-freq")
+    return IdfModel(table, docs.count(), tokens, docs, counts, doc)
 
 
-def fit_idf_on_counts(counts: DataFrame, n_docs: int, tokens: str = "tokens") -> IdfModel:
-    """The model of a corpus whose terms have been counted: one row of (doc, term) each."""
-    frequency = counts.groupBy("term").agg(F.count("*").alias("df"))
-    return IdfModel(as_table(frequency, "doc-freq"), n_docs, tokens)
+def counted_doc_freq(counts: DataFrame) -> DataFrame:
+    """``doc_freq`` of a corpus whose terms have been counted: one row of (doc, term) each."""
+    return counts.groupBy("term").agg(F.count("*").alias("df"))
 
 
 def bag_of_terms(train: DataFrame, other: DataFrame, tokens: str, doc: str = "doc_id") -> DataFrame:
@@ -139,9 +155,10 @@ def stem_terms(terms: DataFrame, term: str = "term") -> DataFrame:
 
 
 def stemmed_counts(docs: DataFrame, tokens: str, doc: str = "doc_id") -> DataFrame:
-    """(doc, term, stem, tf): every distinct term of the corpus is stemmed only once."""
-    stems = as_table(stem_terms(doc_freq(docs, tokens)), "stems")
-    return join_by_weight(term_freq(docs, tokens, doc), stems, "term", "df").select(
+    """(doc, term, stem, tf): every text is cut once, every distinct term stemmed only once."""
+    counts = as_table(term_freq(docs, tokens, doc), "term-counts")
+    stems = as_table(stem_terms(counted_doc_freq(counts)), "stems")
+    return join_by_weight(counts, stems, "term", "df", stored=True).select(
         doc, "term", "stem", "tf"
     )
 
@@ -149,13 +166,12 @@ def stemmed_counts(docs: DataFrame, tokens: str, doc: str = "doc_id") -> DataFra
 def stem_freq(docs: DataFrame, tokens: str, doc: str = "doc_id") -> DataFrame:
     """(doc, term, tf) where terms are stems: words of one stem count together.
 
-    Only a word's stem and a count travel, so the shuffle by document and stem is narrow.
+    Only a word's stem and a count travel, so the shuffle by document and stem is narrow.  Few words of
+    a document share a stem, so the rows are sorted, not kept in hash tables that would only fill up.
     """
-    return (
-        stemmed_counts(docs, tokens, doc)
-        .groupBy(doc, F.col("stem").alias("term"))
-        .agg(F.sum("tf").alias("tf"))
-    )
+    words = stemmed_counts(docs, tokens, doc).select(doc, F.col("stem").alias("term"), "tf")
+    together = words.repartition(doc, "term").sortWithinPartitions(doc, "term")
+    return together.groupBy(doc, "term").agg(F.sum("tf").alias("tf"))
 
 
 def stemmed_idf(docs: DataFrame, tokens: str, doc: str = "doc_id") -> tuple[IdfModel, DataFrame]:
@@ -165,7 +181,8 @@ def stemmed_idf(docs: DataFrame, tokens: str, doc: str = "doc_id") -> tuple[IdfM
     those of other documents.  Every distinct word is stemmed once.
     """
     counts = as_table(stem_freq(docs, tokens, doc), "stem-counts")
-    return fit_idf_on_counts(counts, docs.count(), tokens), counts
+    table = as_table(counted_doc_freq(counts), "doc-freq")
+    return IdfModel(table, docs.count(), tokens, counts=counts, doc=doc), counts
 
 
 def label_index(rows: DataFrame, label: str) -> DataFrame:
