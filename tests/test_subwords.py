@@ -94,3 +94,14 @@ def test_label_job_sees_only_what_fits(spark, tmp_path):
     whole, cut = (spark.read.parquet(str(tmp_path / n)).first() for n in ("whole", "cut"))
     assert (whole["sentiments"], cut["sentiments"]) == ("negative", "positive")
     assert whole["article"] == cut["article"] == text
+
+
+def test_only_a_slice_of_a_batch_is_python_objects(spark, monkeypatch):
+    rows = [["profit"], None, ["loss", "profits"], [], ["é"]]
+    whole = encoded(spark, rows)
+    monkeypatch.setattr(subwords, "ROWS_AT_ONCE", 2)
+    assert encoded(spark, rows) == whole == [plain(r, 8) if r is not None else (None,) * 4 for r in rows]
+    words = spark.createDataFrame([(["profit"],)], "words array<string>")
+    column = subwords.model_tokens(spark, F.col("words"), VOCABULARY, MARK)
+    tree = words.select(column.alias("m"))._jdf.queryExecution().executedPlan().toString()
+    assert "pandas" not in tree.lower() and "ArrowEvalPython" in tree

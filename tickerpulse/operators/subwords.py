@@ -10,7 +10,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator, Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +21,8 @@ MAX_VOCABULARY = 500_000
 #: Words that a worker remembers the pieces of; longer ones are cut anew each time.
 REMEMBERED_WORDS = 200_000
 REMEMBERED_LENGTH = 64
+#: Rows of a batch whose words are Python objects at a time.
+ROWS_AT_ONCE = 64
 MAX_LENGTH = 512
 
 MODEL_TOKENS = (
@@ -56,8 +58,18 @@ def model_tokens(
     sent = spark.sparkContext.broadcast(dict(vocabulary))
     room, known_words, known_length = max_length - 2, REMEMBERED_WORDS, REMEMBERED_LENGTH
 
-    @F.pandas_udf(MODEL_TOKENS)
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    at_once = ROWS_AT_ONCE
+    kind = pa.struct(
+        {
+            "input_ids": pa.list_(pa.int32()),
+            "attention_mask": pa.list_(pa.int32()),
+            "n_pieces": pa.int64(),
+            "n_words": pa.int64(),
+        }
+    )
+
+    @F.arrow_udf(MODEL_TOKENS)
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = sent.value
         longest = max(map(len, table), default=1)
         seen: dict[str, list[int]] = {}
@@ -82,9 +94,10 @@ def model_tokens(
                 seen[word] = cut(word)
             return seen[word]
 
-        def one(row) -> tuple:
+        def one(row) -> dict:
+            # A struct of nulls stands for a null text.
             if row is None:
-                return None, None, None, None
+                return {}
             ids, total, whole = [], 0, 0
             for word in row:
                 if word is None:
@@ -97,14 +110,21 @@ def model_tokens(
                     ids += own
             ids = [mark, *ids[:room], mark]
             pad = room + 2 - len(ids)
-            return ids + [mark] * pad, [1] * len(ids) + [0] * pad, total, whole
-
-        names = ["input_ids", "attention_mask", "n_pieces", "n_words"]
+            return {
+                "input_ids": ids + [mark] * pad,
+                "attention_mask": [1] * len(ids) + [0] * pad,
+                "n_pieces": total,
+                "n_words": whole,
+            }
+
+        # Only a slice's rows are Python objects, whatever the batch holds.
         for batch in batches:
-            rows = pd.DataFrame([one(r) for r in batch], columns=names, dtype=object)
-            yield rows.astype({"n_pieces": "Int64", "n_words": "Int64"})
+            parts = [
+                pa.array([one(r) for r in batch.slice(start, at_once).to_pylist()], kind)
+                for start in range(0, len(batch), at_once)
+            ]
+            yield pa.concat_arrays(parts) if parts else pa.array([], kind)
 
-    # A struct of nulls stands for a null text.
     return encode(words)
 
 
