@@ -11,7 +11,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    RandomForestClassifier,
 )
 from pyspark.ml.feature import (
     IDF,
@@ -32,6 +31,7 @@ from pyspark.sql import functions as F
 from ..functions import stopwords
 from ..functions.text import bigrams_sql, normalize_sql, words_sql
 from ..workspace import as_table
+from .forest import SparseForest
 from .sentiment import hashed_buckets
 
 # Forest size, and hidden units of the embedding head.
@@ -64,9 +64,7 @@ def bigram_forest(
             _words(),
             _add(bigrams_sql("words"), "pairs"),
             HashingTF(inputCol="pairs", outputCol="features", numFeatures=features),
-            RandomForestClassifier(
-                labelCol=label, numTrees=trees, maxDepth=depth, impurity="entropy", seed=seed
-            ),
+            SparseForest(label, trees, depth, features, seed),
         ]
     )
 
