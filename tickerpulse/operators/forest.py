@@ -196,11 +196,13 @@ def level_sums(state, trees, features, classes, values, seed, buckets):
     def run(batches):
         level, grown, part_of = state.value
         part = _part_size(features, trees)
+        parts = features // part
         divisions = [
             (np.random.default_rng([seed, level, d]).permutation(features) // part).astype(np.int32)
+            if parts > 1
+            else np.zeros(features, np.int32)
             for d in range(min(DIVISIONS, trees))
         ]
-        parts = features // part
         held, n_held = ([], []), 0
 
         def block_sums(ids, y, starts, idx, val):
