@@ -1,10 +1,11 @@
 import math
+import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from tickerpulse.workspace import as_table
+from tickerpulse.workspace import SHUFFLE_CLEANUP, as_table
 from tickerpulse.functions import text
 from tickerpulse.operators import articles as art
 from tickerpulse.operators import evaluate, features, headlines, joins
@@ -99,6 +100,67 @@ def test_corpus_weights_cut_its_texts_once(spark, l2):
     assert {r["doc_id"] for r in model.transform(other).collect()} == {1}
 
 
+def many_terms(spark, n=12):
+    """Documents of over a hundred terms each, most of them rare; an id that comes twice, one that is
+    null, null terms and documents without terms."""
+    docs = [
+        (None if i == 3 else i // 2, [f"w{i * 90 + j}" for j in range(130)] + ["all", "all", None])
+        for i in range(n)
+    ]
+    return spark.createDataFrame([*docs, (n, []), (n + 1, None)], "doc_id int, tokens array<string>")
+
+
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = manager.getAllFiles().mkString("\n").split("\n")
+    return {name for name in names if "/shuffle_" in name}
+
+
+@pytest.mark.parametrize("slice_rows", [1 << 22, 400, 1])
+@pytest.mark.parametrize("l2", [False, True])
+def test_weights_by_term_are_those_of_a_join(spark, monkeypatch, slice_rows, l2):
+    monkeypatch.setattr(features, "SLICE_ROWS", slice_rows)
+    docs = many_terms(spark)
+
+    def weights(df):
+        return sorted((str(r["doc_id"]), r["term"], round(r["weight"], 9)) for r in df.collect())
+
+    old = features.fit_idf(docs, "tokens", "doc_id")
+    new = features.fit_idf(docs, "tokens", "doc_id", by_term=True)
+    assert new.by_term and new.n_docs == 14
+    found = new.transform(docs, "smooth", l2=l2, rows=0)
+    assert weights(found) == weights(old.transform(docs, "smooth", l2=l2, rows=0))
+    # The counts come with their frequencies: what a join would shuffle need not lie on the disk.
+    assert ("Exchange" in found._jdf.queryExecution().executedPlan().toString()) == l2
+    assert Counter(map(tuple, new.table.collect())) == Counter(map(tuple, old.table.collect()))
+    other = spark.createDataFrame([(5, ["w95", "no", "all", "w0"])], docs.schema)
+    assert weights(new.transform(other, l2=l2)) == weights(old.transform(other, l2=l2))
+
+
+def test_counts_by_term_leave_no_shuffle_files(spark, monkeypatch):
+    monkeypatch.setattr(features, "SLICE_ROWS", 400)
+    before = shuffle_files(spark)
+    model = features.fit_idf(many_terms(spark), "tokens", "doc_id", by_term=True)
+    end = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left and model.counts.count() == 12 * 132
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+
+
+def test_terms_that_may_be_heavy_are_joined(spark):
+    """In documents of few terms one term may hold many of the rows, too many for one task."""
+    docs = spark.createDataFrame([(i, ["all", f"w{i}"]) for i in range(50)], "doc_id int, tokens array<string>")
+    model = features.fit_idf(docs, "tokens", "doc_id", by_term=True)
+    assert not model.by_term and model.counts.columns == ["doc_id", "term", "tf"]
+    assert rows(model.transform(docs, "log1p", rows=1)) == rows(
+        features.fit_idf(docs, "tokens").transform(docs, "log1p")
+    )
+    for nothing in (docs.limit(0), docs.withColumn("tokens", F.array().cast("array<string>"))):
+        empty = features.fit_idf(nothing, "tokens", "doc_id", by_term=True)
+        assert empty.transform(nothing).count() == 0 and empty.table.count() == 0
+
+
 def test_stems_cut_texts_once(spark):
     docs, made = counted_docs(spark)
     got = [tuple(r) for r in features.stemmed_counts(docs, "tokens").collect()]

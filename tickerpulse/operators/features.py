@@ -8,14 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stem import stem_word
 from ..functions.text import term_counts
-from ..workspace import as_table
-from .joins import join_by_weight
+from ..workspace import as_table, as_table_in_parts, short_shuffles
+from .joins import HEAVY_SHARE, join_by_weight
 from .ordering import with_position
 
 
@@ -65,6 +66,8 @@ class IdfModel:
     """Document frequencies of a corpus, as a stored table, and the number of documents.
 
     A model may keep the corpus and its stored counts, so that its own texts are not read again.
+    If ``by_term``, the counts stand beside their ``df``: the corpus's own weights need no join, and
+    ``table`` is taken from them and stored when other documents are weighed.
     """
 
     table: DataFrame
@@ -73,6 +76,11 @@ class IdfModel:
     corpus: DataFrame | None = None
     counts: DataFrame | None = None
     doc: str = "doc_id"
+    by_term: bool = False
+
+    @cached_property
+    def stored_table(self) -> DataFrame:
+        return as_table(self.table, "doc-freq") if self.by_term else self.table
 
     def transform(
         self,
@@ -104,28 +112,77 @@ class IdfModel:
             F.lit(float(self.n_docs)), F.col("df").cast("double")
         )
         stored = counts is self.counts
-        weighted = join_by_weight(counts, self.table, "term", "df", stored=stored, **limits).select(
-            doc, "term", weight.alias("weight")
-        )
+        if stored and self.by_term:
+            # A join finds no null.
+            found = counts.filter(F.col("term").isNotNull())
+        else:
+            found = join_by_weight(counts, self.stored_table, "term", "df", stored=stored, **limits)
+        weighted = found.select(doc, "term", weight.alias("weight"))
         if not l2:
             return weighted
         norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(doc)))
         return weighted.withColumn("weight", F.col("weight") / norm)
 
 
-def fit_idf(docs: DataFrame, tokens: str, doc: str | None = None) -> IdfModel:
+def fit_idf(
+    docs: DataFrame, tokens: str, doc: str | None = None, by_term: bool = False
+) -> IdfModel:
     """Count documents and document frequencies of the corpus once.
 
     With ``doc``, the name of its key, the counts are stored as well, for weights of the corpus
-    itself: its texts are cut into terms only once.
+    itself: its texts are cut into terms only once.  ``by_term`` is for corpora where nearly every
+    term is rare, such as bigrams: see ``counts_by_term``.
     """
     if doc is None:
         return IdfModel(as_table(doc_freq(docs, tokens), "doc-freq"), docs.count(), tokens)
+    if by_term:
+        n_docs = docs.count()
+        counts, even = counts_by_term(docs, tokens, doc, n_docs)
+        if even:
+            table = counts.groupBy("term").agg(F.max("df").alias("df"))
+        else:
+            table = as_table(counted_doc_freq(counts), "doc-freq")
+        return IdfModel(table, n_docs, tokens, docs, counts, doc, even)
     counts = as_table(term_freq(docs, tokens, doc), "term-counts")
     table = as_table(counted_doc_freq(counts), "doc-freq")
     return IdfModel(table, docs.count(), tokens, docs, counts, doc)
 
 
+# Folders by term that counts are dealt over, and counts that are worth a job of their own.
+SLICES = 16
+SLICE_ROWS = 1 << 22
+
+
+def counts_by_term(
+    docs: DataFrame, tokens: str, doc: str, n_docs: int
+) -> tuple[DataFrame, bool]:
+    """Stored counts, and whether they could be put together by term.
+
+    If so they are (doc, term, tf, df).  A shuffle of all counts takes several times the disk of
+    the texts.  So the counts are stored in slices by a hash of the term, then slice after slice is
+    shuffled and stored with its frequencies, and what was shuffled for one is gone before the next.
+
+    All counts of a term meet in one task.  A document counts a term once, so no term has more than
+    ``n_docs`` counts; if that is more than ``HEAVY_SHARE`` of them, they stay (doc, term, tf).
+    """
+    into = F.pmod(F.xxhash64("term"), F.lit(SLICES)).cast("int")
+    counts = term_freq(docs, tokens, doc).withColumn("_slice", into)
+    with short_shuffles(docs.sparkSession):
+        sliced = as_table(counts, "term-counts", by="_slice", plain=[doc, "term"])
+        n_counts = sliced.count()
+        if n_docs > HEAVY_SHARE * n_counts:
+            return sliced.drop("_slice"), False
+        jobs = min(SLICES, 1 + n_counts // SLICE_ROWS)
+        edges = [SLICES * i // jobs for i in range(jobs + 1)]
+        parts = [
+            sliced.filter(F.col("_slice").between(start, stop - 1))
+            .drop("_slice")
+            .withColumn("df", F.count("*").over(Window.partitionBy("term")))
+            for start, stop in zip(edges, edges[1:])
+        ]
+        return as_table_in_parts(parts, "counts-by-term", plain=[doc, "term"]), True
+
+
 def counted_doc_freq(counts: DataFrame) -> DataFrame:
     """``doc_freq`` of a corpus whose terms have been counted: one row of (doc, term) each."""
     return counts.groupBy("term").agg(F.count("*").alias("df"))
