@@ -136,12 +136,13 @@ def fit_idf(
     if doc is None:
         return IdfModel(as_table(doc_freq(docs, tokens), "doc-freq"), docs.count(), tokens)
     if by_term:
-        n_docs = docs.count()
-        counts, even = counts_by_term(docs, tokens, doc, n_docs)
-        if even:
-            table = counts.groupBy("term").agg(F.max("df").alias("df"))
-        else:
-            table = as_table(counted_doc_freq(counts), "doc-freq")
+        with short_shuffles(docs.sparkSession):
+            n_docs = docs.count()
+            counts, even = counts_by_term(docs, tokens, doc, n_docs)
+            if even:
+                table = counts.groupBy("term").agg(F.max("df").alias("df"))
+            else:
+                table = as_table(counted_doc_freq(counts), "doc-freq")
         return IdfModel(table, n_docs, tokens, docs, counts, doc, even)
     counts = as_table(term_freq(docs, tokens, doc), "term-counts")
     table = as_table(counted_doc_freq(counts), "doc-freq")
@@ -160,27 +161,27 @@ def counts_by_term(
 
     If so they are (doc, term, tf, df).  A shuffle of all counts takes several times the disk of
     the texts.  So the counts are stored in slices by a hash of the term, then slice after slice is
-    shuffled and stored with its frequencies, and what was shuffled for one is gone before the next.
+    shuffled and stored with its frequencies; within ``short_shuffles``, what was shuffled for one
+    is gone before the next.
 
     All counts of a term meet in one task.  A document counts a term once, so no term has more than
     ``n_docs`` counts; if that is more than ``HEAVY_SHARE`` of them, they stay (doc, term, tf).
     """
     into = F.pmod(F.xxhash64("term"), F.lit(SLICES)).cast("int")
     counts = term_freq(docs, tokens, doc).withColumn("_slice", into)
-    with short_shuffles(docs.sparkSession):
-        sliced = as_table(counts, "term-counts", by="_slice", plain=[doc, "term"])
-        n_counts = sliced.count()
-        if n_docs > HEAVY_SHARE * n_counts:
-            return sliced.drop("_slice"), False
-        jobs = min(SLICES, 1 + n_counts // SLICE_ROWS)
-        edges = [SLICES * i // jobs for i in range(jobs + 1)]
-        parts = [
-            sliced.filter(F.col("_slice").between(start, stop - 1))
-            .drop("_slice")
-            .withColumn("df", F.count("*").over(Window.partitionBy("term")))
-            for start, stop in zip(edges, edges[1:])
-        ]
-        return as_table_in_parts(parts, "counts-by-term", plain=[doc, "term"]), True
+    sliced = as_table(counts, "term-counts", by="_slice", plain=[doc, "term"])
+    n_counts = sliced.count()
+    if n_docs > HEAVY_SHARE * n_counts:
+        return sliced.drop("_slice"), False
+    jobs = min(SLICES, 1 + n_counts // SLICE_ROWS)
+    edges = [SLICES * i // jobs for i in range(jobs + 1)]
+    parts = [
+        sliced.filter(F.col("_slice").between(start, stop - 1))
+        .drop("_slice")
+        .withColumn("df", F.count("*").over(Window.partitionBy("term")))
+        for start, stop in zip(edges, edges[1:])
+    ]
+    return as_table_in_parts(parts, "counts-by-term", plain=[doc, "term"]), True
 
 
 def counted_doc_freq(counts: DataFrame) -> DataFrame:
